@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from glossarion.llm import decision_list, grammar_store, host_reputation, line_runs, packing
+from glossarion.llm import circulant_minhash, decision_list, grammar_store, host_reputation, line_runs, packing
 from glossarion.llm._shared import Workspace, table
 
 
@@ -16,6 +16,10 @@ def tokenizer_file(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op2_circulant_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return circulant_minhash.near_duplicates(table(spark, sf_dir, "documents"), width=3, share=(85, 100), bands=24, rows=5)
+
+
 def op3_grammar_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     store = f"{Workspace(spark, 'op3').path}/tokens"
     grammar_store.write_token_store(table(spark, sf_dir, "documents"), store, tokenizer_file("word_bpe_49k.json"))
@@ -43,6 +47,7 @@ def op9_line_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_circulant_minhash": op2_circulant_minhash,
     "op3_grammar_token_store": op3_grammar_token_store,
     "op4_host_reputation": op4_host_reputation,
     "op7_vector_bin_packing": op7_vector_bin_packing,
