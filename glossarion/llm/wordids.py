@@ -18,7 +18,7 @@ import pyarrow.compute as pc
 from glossarion.llm._bytes import spans
 
 #: Words a worker keeps; beyond it the memory is emptied and filled anew.
-MAX_WORDS = 500_000
+MAX_WORDS = 300_000
 
 PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\[-`{-~]*)")
 
@@ -52,45 +52,62 @@ class WordIds:
         parts = [i for w in probe.split() for i in self.tokenizer.encode(w, add_special_tokens=False).ids]
         if parts != self.tokenizer.encode(probe, add_special_tokens=False).ids:
             raise ValueError("this tokenizer's ids depend on the white space around words")
-        self.fast = all(self._plain(w) == self.tokenizer.encode(w, add_special_tokens=False).ids for w in ("Hello,", "ÜBER", "a", "straße!!", "x%%%", "Été"))
+        self.fast = True
+        for w in ("Hello,", "ÜBER", "a", "straße!!", "x%%%", "Été"):
+            self.fast &= self.encode(pa.array([w]))[0].tolist() == self.tokenizer.encode(w, add_special_tokens=False).ids
+        self.clear()
 
     def clear(self) -> None:
         self.index: dict[str, int] = {"": 0}
-        self.pieces: dict[str, list[int]] = {}
-        self.starts, self.lens = np.zeros(1 << 16, np.int64), np.zeros(1 << 16, np.int64)
+        self.pieces: dict[str, int] = {}
+        self.long: dict[int, np.ndarray] = {}  # words of very many ids
+        self.fresh: list[int] = []
+        self.places = np.zeros((1 << 16, 2), np.int64)
         self.pool, self.used = np.zeros(1 << 18, np.uint32), 0
 
-    def _piece(self, piece: str) -> list[int]:
+    def _piece(self, piece: str) -> int:
+        """Its place in the pool, and in the low 16 bits the number of its ids."""
         got = self.pieces.get(piece)
         if got is None:
-            word = piece if piece.isascii() else "".join(map(self.letters.__getitem__, piece.encode()))
-            got = self.pieces[piece] = [t.id for t in self.model.tokenize(word)]
+            word = piece if piece.isascii() else "".join([self.letters[b] for b in piece.encode()])
+            got = self._place([t.id for t in self.model.tokenize(word)])
+            self.pieces[piece] = got
         return got
 
-    def _plain(self, word: str) -> list[int] | None:
-        m = PLAIN.fullmatch(word)
-        if not m:
-            return None
-        return self._piece(m[1].lower()) + self._piece(m[2]) if m[2] else self._piece(m[1].lower())
+    def _place(self, ids: list[int]) -> int:
+        at = self.used + len(self.fresh)
+        self.fresh += ids
+        return at << 16 | len(ids)
 
     def _learn(self, missing: list[str]) -> None:
-        ids = [self._plain(w) if self.fast else None for w in missing]
-        odd = [i for i, x in enumerate(ids) if x is None]
+        """Places of new words: of the letters and of the closing signs, or of the whole word in pieces of 65,535 ids."""
+        n, match, piece, odd = len(self.index), PLAIN.fullmatch, self._piece, []
+        heads, tails = [0] * len(missing), [0] * len(missing)
+        for i, w in enumerate(missing):
+            m = match(w) if self.fast and len(w) < 10_000 else None
+            if m is None:
+                odd.append(i)
+                continue
+            heads[i] = piece(m[1].lower())
+            if m[2]:
+                tails[i] = piece(m[2])
         for i, e in zip(odd, self.tokenizer.encode_batch([missing[i] for i in odd], add_special_tokens=False), strict=True):
-            ids[i] = e.ids
-        n = len(self.index)
-        lens = np.fromiter(map(len, ids), np.int64, len(ids))
-        flat = np.fromiter((x for y in ids for x in y), np.uint32, int(lens.sum()))
-        while n + len(ids) > len(self.starts):
-            self.starts, self.lens = np.concatenate([self.starts, self.starts]), np.concatenate([self.lens, self.lens])
-        while self.used + len(flat) > len(self.pool):
+            ids = e.ids
+            if len(ids) > 120_000:
+                self.long[n + i] = np.array(ids, np.uint32)
+                continue
+            heads[i] = self._place(ids[:60_000])
+            tails[i] = self._place(ids[60_000:])
+        while self.used + len(self.fresh) > len(self.pool):
             self.pool = np.concatenate([self.pool, self.pool])
-        ends = np.cumsum(lens)
-        self.starts[n : n + len(ids)] = self.used + ends - lens
-        self.lens[n : n + len(ids)] = lens
-        self.pool[self.used : self.used + len(flat)] = flat
-        self.used += len(flat)
-        self.index.update(zip(missing, range(n, n + len(ids))))
+        self.pool[self.used : self.used + len(self.fresh)] = self.fresh
+        self.used += len(self.fresh)
+        self.fresh = []
+        while n + len(missing) > len(self.places):
+            self.places = np.concatenate([self.places, self.places])
+        self.places[n : n + len(missing), 0] = heads
+        self.places[n : n + len(missing), 1] = tails
+        self.index.update(zip(missing, range(n, n + len(missing))))
 
     def encode(self, col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts one after another, number of ids of each text); a null is empty."""
@@ -110,8 +127,19 @@ class WordIds:
             self._learn([distinct[i] for i in missing])
             at[missing] = np.arange(n, n + len(missing))
         at = at[coded.indices.to_numpy(zero_copy_only=False)]
-        lens = self.lens[at]
-        ids = self.pool[spans(self.starts[at], lens)]
+        places = self.places[at].ravel()
+        parts = places & 0xFFFF
+        lens = parts[0::2] + parts[1::2]
+        if self.long and len(found := np.flatnonzero(np.isin(at, list(self.long)))):
+            pool = np.concatenate([self.pool, *self.long.values()])
+            ends = len(self.pool) + np.cumsum([len(x) for x in self.long.values()])
+            begin = dict(zip(self.long, ends - [len(x) for x in self.long.values()], strict=True))
+            starts = places >> 16
+            for k in found:
+                starts[2 * k], parts[2 * k], lens[k] = begin[at[k]], len(self.long[at[k]]), len(self.long[at[k]])
+            ids = pool[spans(starts, parts)]
+        else:
+            ids = self.pool[spans(places >> 16, parts)]
         bounds = np.concatenate([[0], np.cumsum(lens)])[np.asarray(split.offsets, np.int64) - split.offsets[0].as_py()]
         return ids, np.diff(bounds)
 
