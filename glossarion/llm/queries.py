@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from glossarion.llm import circulant_minhash, decision_list, grammar_store, host_reputation, line_runs, packing
+from glossarion.llm import circulant_minhash, decision_list, grammar_store, host_reputation, line_runs, packing, suffix_dedup
 from glossarion.llm._shared import Workspace, table
 
 
@@ -16,6 +16,11 @@ def tokenizer_file(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = suffix_dedup.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op2_circulant_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return circulant_minhash.near_duplicates(table(spark, sf_dir, "documents"), width=3, share=(85, 100), bands=24, rows=5)
 
@@ -47,6 +52,7 @@ def op9_line_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_suffix_array_dedup": op1_suffix_array_dedup,
     "op2_circulant_minhash": op2_circulant_minhash,
     "op3_grammar_token_store": op3_grammar_token_store,
     "op4_host_reputation": op4_host_reputation,
