@@ -192,7 +192,7 @@ def _sort_shards(length: int):
     return run
 
 
-def _cut(length: int):
+def _cut(length: int, whole_characters: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "text"):
@@ -211,6 +211,9 @@ def _cut(length: int):
                     np.add.at(cover, off[of] + s, 1)
                     np.add.at(cover, off[of] + s + w + length - 1, -1)
                 gone = np.cumsum(cover[:-1]) > 0
+                if whole_characters and len(data):
+                    of_char = np.cumsum((data & 0xC0) != 0x80)
+                    gone &= (np.bincount(of_char[~gone], minlength=int(of_char[-1]) + 1) == 0)[of_char]
                 before = np.concatenate([[0], np.cumsum(gone)])
                 n_removed = before[off[1:]] - before[off[:-1]]
                 edge = np.zeros(len(gone), bool)
@@ -232,8 +235,11 @@ def _cut(length: int):
     return run
 
 
-def remove_repeats(docs: DataFrame, length: int = 200, gram: int = 64, max_group: int = 20_000) -> DataFrame:
-    """``docs`` without ``text``; n_bytes, n_removed, n_spans (long), removed (spans), kept (the bytes left)."""
+def remove_repeats(docs: DataFrame, length: int = 200, gram: int = 64, max_group: int = 20_000, whole_characters: bool = False) -> DataFrame:
+    """``docs`` without ``text``; n_bytes, n_removed, n_spans (long), removed (spans), kept (the bytes left).
+
+    ``whole_characters``: a code point goes only if all its bytes do, so what is left is valid UTF-8.
+    """
     spark = docs.sparkSession
     space = Workspace(spark, "repeats")
     own = ("n_bytes", "n_removed", "n_spans", "removed", "kept", "items", "found", *KEY)
@@ -267,4 +273,4 @@ def remove_repeats(docs: DataFrame, length: int = 200, gram: int = 64, max_group
     joined = keyed.join(items, list(KEY), "left").join(more, list(KEY), "left")
     fields = [f for f in docs.schema.fields if f.name != "text"]
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields) + ", n_bytes long, n_removed long, n_spans long, removed array<struct<start:long,end:long>>, kept binary"
-    return joined.mapInArrow(_cut(length), schema)
+    return joined.mapInArrow(_cut(length, whole_characters), schema)
