@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from glossarion.llm import circulant_minhash, decision_list, grammar_store, host_reputation, line_runs, packing, phrase_fingerprint, suffix_dedup
+from glossarion.llm import circulant_minhash, decision_list, grammar_store, host_reputation, line_runs, packing, phrase_fingerprint, sentencepiece_codec, suffix_dedup
 from glossarion.llm._shared import Workspace, table
 
 
@@ -55,6 +55,13 @@ def op9_line_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
 
 
+def op10_sentencepiece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = tokenizer_file("piece_bpe_32k.model")
+    both = sentencepiece_codec.decode(sentencepiece_codec.encode(table(spark, sf_dir, "documents"), path), path)
+    same = F.coalesce(F.col("text").cast("binary") == F.col("decoded"), F.length("decoded") == 0)
+    return both.select("doc_id", "n_tokens", F.crc32("ids").alias("ids_crc32"), "parity", same.alias("round_trip"))
+
+
 QUERIES = {
     "op1_suffix_array_dedup": op1_suffix_array_dedup,
     "op2_circulant_minhash": op2_circulant_minhash,
@@ -64,6 +71,7 @@ QUERIES = {
     "op7_vector_bin_packing": op7_vector_bin_packing,
     "op8_decision_list": op8_decision_list,
     "op9_line_runs": op9_line_runs,
+    "op10_sentencepiece_codec": op10_sentencepiece_codec,
 }
 
 _BLANKS = "chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
