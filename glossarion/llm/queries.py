@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from glossarion.llm import circulant_minhash, decision_list, grammar_store, host_reputation, line_runs, packing, phrase_fingerprint, sentencepiece_codec, suffix_dedup
+from glossarion.llm import circulant_minhash, compact_windows, decision_list, grammar_store, host_reputation, line_runs, packing, phrase_fingerprint, sentencepiece_codec, suffix_dedup
 from glossarion.llm._shared import Workspace, table
 
 
@@ -35,6 +35,10 @@ def op4_host_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return host_reputation.judge(table(spark, sf_dir, "pages"), table(spark, sf_dir, "labels")).drop("mean", "low")
 
 
+def op5_compact_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return compact_windows.duplicate_passages(table(spark, sf_dir, "documents"))
+
+
 def op6_phrase_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     return phrase_fingerprint.fingerprints(table(spark, sf_dir, "documents"))
 
@@ -67,6 +71,7 @@ QUERIES = {
     "op2_circulant_minhash": op2_circulant_minhash,
     "op3_grammar_token_store": op3_grammar_token_store,
     "op4_host_reputation": op4_host_reputation,
+    "op5_compact_windows": op5_compact_windows,
     "op6_phrase_fingerprint": op6_phrase_fingerprint,
     "op7_vector_bin_packing": op7_vector_bin_packing,
     "op8_decision_list": op8_decision_list,
