@@ -17,8 +17,8 @@ def strings(values) -> Column:
 
 
 def overlaps(c: Column, values) -> Column:
-    """Any element in values; a null array has none."""
-    return F.arrays_overlap(F.coalesce(c, F.array().cast("array<string>")), strings(values)) if values else F.lit(False)
+    """Any element in values; a null array or element is in none."""
+    return F.coalesce(F.arrays_overlap(c, strings(values)), F.lit(False)) if values else F.lit(False)
 
 
 def _codes_or_names(codes, names) -> Column:

@@ -109,7 +109,7 @@ class Trie:
                 terminal.append(bool(here))
                 rest = group[1:] if here else group
                 starts = [i for i, w in enumerate(rest) if not i or rest[i - 1][depth] != w[depth]]
-                for a, b in zip(starts, [*starts[1:], len(rest)], strict=True):
+                for a, b in zip(starts, [*starts[1:], len(rest)]):
                     below.append(rest[a:b])
                     labels.append(rest[a][depth])
                 louds += [True] * len(starts) + [False]

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from glossarion import vocab
 from glossarion.functions import lexical
-from glossarion.operators.predicates import overlaps, strings
+from glossarion.operators.predicates import overlaps
 
 SECTIONS = ("character", "phrase", "frequency", "pos", "concreteness", "labels", "policy", "temporal", "sources", "spelling_region", "region", "proper_noun", "syllables", "lemma")
 OPERATIONS = ("include", "exclude", "include-if-primary", "exclude-if-primary")
@@ -34,7 +34,7 @@ class Spec:
 
 def parse(text: str) -> dict:
     try:
-        return json.loads(text)
+        body = json.loads(text)
     except ValueError:
         import yaml
 
@@ -348,4 +348,3 @@ PRESET_SPECS = {
     "prefix_game": {"character": {"starts_with": ["un"], "min_length": 5}},
     "no_special": {"character": {"pattern": "[a-zA-Z]+$"}},
 }
-_ = strings
