@@ -7,10 +7,11 @@ buckets. Links are confirmed on full sets of 64-bit shingle hashes.
 
 Equal sets collapse first. Buckets are then not expanded into pairs: in each of
 a few rounds every document is compared with one centre of each bucket that is
-not yet in its component. Pairs that rounds leave open (same bucket, different
-components) go through a prefix filter, which is exact: sets that reach the
-threshold share one of their rarest shingles. No bucket, partner or candidate
-is capped.
+not yet in its component; first with the document that has the fewest shingles
+of its own. Pairs that rounds leave open (same bucket, different components)
+go through a prefix filter: sets that reach the threshold share one of their
+rarest shingles. Throughout, shingles that a document shares with none bound its
+likeness to all others. Both tests are exact. No bucket, partner or candidate is capped.
 
 Null or empty text: an empty set, linked with nothing. With fewer words than a
 shingle, the whole sequence is one. Rows of equal ``doc_id`` are one vertex; a
@@ -84,7 +85,7 @@ def _sketch(width: int, bands: int, rows: int):
                 n, k1, k2, sigs = [], [], [], []
                 for s in shingles(part.column("text"), width):
                     n.append(len(s))
-                    k1.append(mix(s).sum(dtype=np.uint64) if len(s) else 0)
+                    k1.append(_set_key(s))
                     k2.append(mix(s ^ np.uint64(0x5851F42D4C957F2D)).sum(dtype=np.uint64) if len(s) else 0)
                     sigs.append(signature(s, bands * rows) if len(s) else np.zeros(bands * rows, np.int32))
                 sig = np.array(sigs, np.uint64).reshape(len(sigs), bands, rows) + np.uint64(1)
@@ -107,10 +108,17 @@ def _sets(width: int):
     return run
 
 
+def _set_key(hashes: np.ndarray) -> np.uint64:
+    return mix(hashes).sum(dtype=np.uint64) if len(hashes) else np.uint64(0)
+
+
 def _members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A row for each shingle of each set, with the set's key."""
     for batch in batches:
         raw, off = string_buffers(batch.column(1))
-        yield pa.RecordBatch.from_pydict({"doc": np.repeat(batch.column(0).to_numpy(zero_copy_only=False), np.diff(off) // 8), "s": np.frombuffer(raw.tobytes(), "<i8")})
+        n, s = np.diff(off) // 8, np.frombuffer(raw.tobytes(), "<u8")
+        keys = np.array([_set_key(s[a:b]) for a, b in zip(off[:-1] // 8, off[1:] // 8, strict=True)], np.uint64).view(np.int64)
+        yield pa.RecordBatch.from_pydict({"doc": np.repeat(batch.column(0).to_numpy(zero_copy_only=False), n), "k1": np.repeat(keys, n), "s": s.view(np.int64)})
 
 
 def _linked(share: tuple[int, int]):
@@ -152,7 +160,7 @@ def _prefixes(share: tuple[int, int]):
     return run
 
 
-def near_duplicates(docs: DataFrame, width: int = 5, share: tuple[int, int] = (80, 100), bands: int = 36, rows: int = 5, rounds: int = 3) -> DataFrame:
+def near_duplicates(docs: DataFrame, width: int = 5, share: tuple[int, int] = (80, 100), bands: int = 36, rows: int = 5, rounds: int = 2) -> DataFrame:
     """doc_id, n_shingles, component_id, kept: one row for each row of ``docs``.
 
     Linked: intersection / union of the shingle sets is at least ``share``. With 36
@@ -166,55 +174,69 @@ def near_duplicates(docs: DataFrame, width: int = 5, share: tuple[int, int] = (8
     classes = space.write(sketches.where("n > 0").groupBy("k1", "k2", "n").agg(F.min("doc").alias("rep")), "classes")
     # a document whose rows hold several sets is one vertex: its sets' classes are linked
     reps = sketches.where("n > 0").join(classes.select(F.col("rep").alias("doc"), "k1", "k2"), ["doc", "k1", "k2"]).dropDuplicates(["doc", "k1", "k2"])
-    placed = reps.select("doc", "n", F.posexplode("bands").alias("band", "v"))
+    placed = reps.select("doc", "n", "k1", F.posexplode("bands").alias("band", "v"))
     crowded = placed.groupBy("band", "v").agg(F.min("doc").alias("lo"), F.max("doc").alias("hi")).where("lo < hi").select("band", "v")
-    members = space.write(placed.join(crowded, ["band", "v"]).select("band", "v", "doc", "n").distinct(), "members")
+    members = space.write(placed.join(crowded, ["band", "v"]).select("band", "v", "doc", "n", "k1").distinct(), "members")
     wanted = members.select("doc").distinct()
     sets = space.write(texts.join(wanted, "doc", "left_semi").mapInArrow(_sets(width), "doc long, set binary"), "sets")
     alone = sketches.where("n > 0").select("doc", "k1", "k2").join(classes, ["k1", "k2"]).where("doc <> rep")
     links = space.write(alone.select(F.col("doc").alias("a"), F.col("rep").alias("b")).distinct(), "same")
-    tables, tested = ["same"], None
+    tables = ["same"]
 
     def verified(pairs: DataFrame, name: str) -> DataFrame:
         both = pairs.join(sets.select(F.col("doc").alias("a"), F.col("set").alias("sa")), "a").join(sets.select(F.col("doc").alias("b"), F.col("set").alias("sb")), "b")
         return space.write(both.select("a", "b", "sa", "sb").mapInArrow(_linked(share), "a long, b long").distinct(), name)
 
-    def compatible(a: str, b: str):
-        return den * F.least(F.col(a), F.col(b)) >= num * F.greatest(F.col(a), F.col(b))
+    # shingles that no other document of a bucket has bound every likeness of theirs from above
+    lone = sets.mapInArrow(_members, "doc long, k1 long, s long").groupBy("s").agg(F.count("*").alias("f"), F.min(F.struct("doc", "k1")).alias("x")).where("f = 1").groupBy("x.doc", "x.k1").agg(F.count("*").alias("lone"))
+    members = members.join(lone, ["doc", "k1"], "left").withColumn("r", F.col("n") - F.coalesce("lone", F.lit(0))).drop("lone", "k1").where(den * F.col("r") >= num * F.col("n"))
+    members = space.write(members, "open")
+
+    def possible(n: str, r: str, m: str, q: str):
+        most = F.least(F.col(r), F.col(q))
+        return (den * F.least(F.col(n), F.col(m)) >= num * F.greatest(F.col(n), F.col(m))) & (den * most >= num * (F.col(n) + F.col(m) - most))
 
-    state = members.select("band", "v", "doc", "n", F.col("doc").alias("comp"))
+    def untested(pairs: DataFrame) -> DataFrame:
+        for t in tested:
+            pairs = pairs.join(t, ["a", "b"], "left_anti").join(t.select(F.col("a").alias("b"), F.col("b").alias("a")), ["a", "b"], "left_anti")
+        return pairs
+
+    state, comps, tested = members.withColumn("comp", F.col("doc")), None, []
     for k in range(rounds):
-        key = F.struct((F.xxhash64("doc", F.lit(k)) if k else F.col("doc")).alias("key"), F.col("doc").alias("c"), F.col("n").alias("cn"), F.col("comp").alias("cc"))
-        centres = state.groupBy("band", "v").agg(F.min(key).alias("x")).select("band", "v", "x.c", "x.cn", "x.cc")
-        pairs = state.join(centres, ["band", "v"]).where((F.col("comp") != F.col("cc")) & compatible("n", "cn")).select(F.col("c").alias("a"), F.col("doc").alias("b")).distinct()
-        if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti").join(tested.select(F.col("a").alias("b"), F.col("b").alias("a")), ["a", "b"], "left_anti")
-        pairs = space.write(pairs, f"pairs{k}")
-        tested = pairs if tested is None else tested.unionByName(pairs)
+        # the first centres have the fewest lone shingles, later ones are random
+        order = F.xxhash64("doc", F.lit(k)) if k else (F.col("n") - F.col("r")) / F.col("n")
+        key = F.struct(order.alias("key"), F.col("doc").alias("c"), F.col("n").alias("cn"), F.col("r").alias("cr"), F.col("comp").alias("cc"))
+        centres = state.groupBy("band", "v").agg(F.min(key).alias("x")).select("band", "v", "x.c", "x.cn", "x.cr", "x.cc")
+        pairs = state.join(centres, ["band", "v"]).where((F.col("comp") != F.col("cc")) & possible("n", "r", "cn", "cr")).select(F.col("c").alias("a"), F.col("doc").alias("b")).distinct()
+        pairs = space.write(untested(pairs), f"pairs{k}")
+        tested.append(pairs)
         new = verified(pairs, f"links{k}")
-        links = links.unionByName(new)
         tables += [f"pairs{k}", f"links{k}"]
+        if k and new.isEmpty():
+            continue
+        links = links.unionByName(new)
         comps = space.write(components(space, links, f"cc{k}-"), f"comps{k}")
         of = comps.select(F.col("v").alias("doc"), "comp")
         state = members.join(of, "doc", "left").withColumn("comp", F.coalesce("comp", "doc"))
         mixed = state.groupBy("band", "v").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("band", "v")
-        state = space.write(state.join(mixed, ["band", "v"]).select("band", "v", "doc", "n", "comp"), f"state{k}")
+        state = space.write(state.join(mixed, ["band", "v"]).select("band", "v", "doc", "n", "r", "comp"), f"state{k}")
         if state.isEmpty():
             break
-    # the exact rest
-    open_docs = state.select("doc").distinct()
-    held = space.write(sets.join(open_docs, "doc", "left_semi").mapInArrow(_members, "doc long, s long"), "held")
-    common = held.groupBy("s").agg(F.count("*").alias("f")).where("f > 1")
-    ranked = held.join(common, "s", "left").select("doc", "s", F.coalesce("f", F.lit(1)).alias("f"))
-    firsts = ranked.groupBy("doc").agg(F.collect_list(F.struct("f", "s")).alias("items")).mapInArrow(_prefixes(share), "doc long, s long")
-    prefix = firsts.join(common.select("s"), "s", "left_semi")
-    prefix = space.write(prefix.join(state.select("doc", "n", "comp").distinct(), "doc"), "prefix")
-    other = prefix.select("s", F.col("doc").alias("a"), F.col("n").alias("an"), F.col("comp").alias("ac"))
-    rest = prefix.join(other, "s").where((F.col("a") < F.col("doc")) & (F.col("ac") != F.col("comp")) & compatible("n", "an")).select("a", F.col("doc").alias("b")).distinct()
-    rest = rest.join(tested, ["a", "b"], "left_anti").join(tested.select(F.col("a").alias("b"), F.col("b").alias("a")), ["a", "b"], "left_anti")
-    links = links.unionByName(verified(space.write(rest, "rest"), "last"))
-    comps = space.write(components(space, links, "cc-"), "comps")
-    space.drop("sets", "members", "held", "prefix", "rest", "last", "classes", *tables, *(f"{x}{k}" for k in range(rounds) for x in ("state", "comps")))
+    else:
+        # the exact rest
+        open_docs = state.select("doc", "n", "r", "comp").distinct()
+        held = space.write(sets.join(open_docs.select("doc"), "doc", "left_semi").mapInArrow(_members, "doc long, k1 long, s long").drop("k1"), "held")
+        common = held.groupBy("s").agg(F.count("*").alias("f")).where("f > 1")
+        ranked = held.join(common, "s", "left").select("doc", "s", F.coalesce("f", F.lit(1)).alias("f"))
+        firsts = ranked.groupBy("doc").agg(F.collect_list(F.struct("f", "s")).alias("items")).mapInArrow(_prefixes(share), "doc long, s long")
+        prefix = space.write(firsts.join(common.select("s"), "s", "left_semi").join(open_docs, "doc"), "prefix")
+        other = prefix.select("s", F.col("doc").alias("a"), F.col("n").alias("an"), F.col("r").alias("ar"), F.col("comp").alias("ac"))
+        rest = prefix.join(other, "s").where((F.col("a") < F.col("doc")) & (F.col("ac") != F.col("comp")) & possible("n", "r", "an", "ar")).select("a", F.col("doc").alias("b")).distinct()
+        new = verified(space.write(untested(rest), "rest"), "last")
+        if not new.isEmpty():
+            comps = space.write(components(space, links.unionByName(new), "cc-"), "comps")
+    drop = ["sets", "members", "open", "held", "prefix", "rest", "last", "classes", *tables, *(f"state{k}" for k in range(rounds))]
+    space.drop(*drop)
     found = sketches.join(comps.select(F.col("v").alias("doc"), "comp"), "doc", "left")
     comp = F.coalesce("comp", "doc")
     return found.select(
