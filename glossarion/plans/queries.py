@@ -89,12 +89,6 @@ wordlist("temporal_include", {"temporal": {"include": ["TARC"]}}, _ANY.format("q
 wordlist("policy_family_friendly", {"policy": {"family_friendly": True, "modern_only": True, "no_jargon": True}}, "NOT " + _ANY.format("toxic = 1 OR quality = 0"), senses=True)
 
 
-def _unique_first(spark, sf_dir):
-    """Senses with an order that has no ties."""
-    s = d.senses(spark, sf_dir)
-    return s
-
-
 @register("freq_rank_tier", "SELECT id, n, r AS rank, CASE WHEN false THEN '' " + _TIER[5:].replace("WHEN r IS NULL THEN 'Z'", "") + " AS tier FROM rk")
 def freq_rank_tier(spark, sf_dir):
     return d.rank_by_count(d.counts(spark, sf_dir)).withColumn("tier", lexical.rank_to_tier(F.col("rank")))
