@@ -12,7 +12,7 @@ from glossarion import vocab
 from glossarion.functions import lexical
 from glossarion.operators import lexicon as lx
 from glossarion.operators import predicates as pr
-from glossarion.operators import trie
+from glossarion.operators import reports, trie
 from glossarion.plans import derived as d
 from glossarion.plans import spec
 
@@ -341,3 +341,45 @@ def output_checksum(spark, sf_dir):
 @register("page_title_extract", "SELECT page_id, regexp_extract(html, '<title>([^<]*)</title>', 1) AS title FROM pages", base="")
 def page_title_extract(spark, sf_dir):
     return d.table(spark, sf_dir, "pages").select("page_id", F.regexp_extract("html", "<title>([^<]*)</title>", 1).alias("title"))
+
+
+@register("ordinal_map", "SELECT id, CAST(row_number() OVER (ORDER BY f) - 1 AS BIGINT) AS ordinal, k AS n_lines FROM (SELECT p_brand AS id, min(p_partkey) AS f, count(*) AS k FROM part GROUP BY p_brand)", base="")
+def ordinal_map(spark, sf_dir):
+    rows = d.table(spark, sf_dir, "part").select(F.col("p_brand").alias("id"), F.col("p_partkey").alias("ord"))
+    return reports.ordinals(rows).select("id", "ordinal", F.size("lines").cast("long").alias("n_lines"))
+
+
+@register("duplicate_histogram", "SELECT e AS entries_per_word, n, round(100.0 * n / sum(n) OVER (), 2) AS pct, round(100.0 * sum(n) OVER (ORDER BY e ROWS UNBOUNDED PRECEDING) / sum(n) OVER (), 2) AS cumulative_pct FROM (SELECT e, count(*) AS n FROM (SELECT p_brand, count(*) AS e FROM part GROUP BY p_brand) GROUP BY e)", base="")
+def duplicate_histogram(spark, sf_dir):
+    return reports.duplicate_histogram(d.table(spark, sf_dir, "part").select(F.col("p_brand").alias("id")))
+
+
+@register("richness_topk", "SELECT id, richness FROM (SELECT id, len(sources) + CASE WHEN nsyll IS NULL THEN 0 ELSE 1 END + CASE WHEN conc IS NULL THEN 0 ELSE 1 END + CASE WHEN r IS NULL THEN 0 ELSE 1 END + CASE WHEN region IS NULL THEN 0 ELSE 1 END AS richness FROM words) WHERE richness >= 5 ORDER BY richness DESC, id LIMIT 10")
+def richness_topk(spark, sf_dir):
+    return reports.richness(d.words(spark, sf_dir))
+
+
+@register("label_cooccurrence", "SELECT code, count(*) AS n FROM (SELECT unnest([CASE WHEN quality = 0 THEN 'TARC' END, region, CASE WHEN inflected THEN 'INFL' END]) AS code FROM sen WHERE toxic = 1) WHERE code IS NOT NULL GROUP BY code", senses=True)
+def label_cooccurrence(spark, sf_dir):
+    return reports.co_labels(d.senses(spark, sf_dir), "RVLG")
+
+
+@register("enrichment_impact", "SELECT array_to_string(list_filter(sources, lambda s: s <> 'brysbaert'), ',') AS combination, 'brysbaert' AS enrichment, count(*) AS n FROM words WHERE list_contains(sources, 'brysbaert') GROUP BY 1")
+def enrichment_impact(spark, sf_dir):
+    return reports.enrichment_impact(d.words(spark, sf_dir))
+
+
+@register("array_combinations", "SELECT combination, count(*) AS n FROM (SELECT array_to_string(sources, ',') AS combination FROM words) GROUP BY 1")
+def array_combinations(spark, sf_dir):
+    return reports.array_combinations(d.words(spark, sf_dir), "sources")
+
+
+@register("distinct_values", "SELECT 'p_brand' AS path, count(DISTINCT p_brand) AS n, CAST(ceil(log2(count(DISTINCT p_brand))) AS INTEGER) AS bits FROM part UNION ALL SELECT 'p_type', count(DISTINCT p_type), CAST(ceil(log2(count(DISTINCT p_type))) AS INTEGER) FROM part", base="")
+def distinct_values(spark, sf_dir):
+    return reports.distinct_values(d.table(spark, sf_dir, "part").select("p_brand", "p_type"))
+
+
+@register("enriched_entries", "SELECT words.id, tier AS frequency_tier, string_agg(DISTINCT pos, ',' ORDER BY pos) AS pos, count(ord) AS n_senses FROM words LEFT JOIN sen ON words.id = sen.id GROUP BY words.id, tier", senses=True)
+def enriched_entries(spark, sf_dir):
+    out = reports.enriched(d.words(spark, sf_dir), d.senses(spark, sf_dir))
+    return out.select("id", "frequency_tier", F.array_join("pos", ",").alias("pos"), F.coalesce(F.size("senses"), F.lit(0)).cast("long").alias("n_senses"))

@@ -256,3 +256,18 @@ def test_every_oracle_has_a_query():
     import __spark_entry__ as e
 
     assert set(e.oracle_sql()) <= set(e.queries())
+
+
+def test_reports(spark):
+    from glossarion.operators import reports
+
+    for w in ("word", "NaSA", "Ünï", "a b", "don't"):
+        assert reports.word_of(reports.file_name(w)) == w and reports.file_name(w).islower() or w == "word"
+    assert reports.interpolate("{lang}/{x}", lang="en") == "en/{x}"
+    left = spark.createDataFrame([("a", ["x", "y"], 1), ("b", ["x"], 2)], "id string, codes array<string>, n int")
+    right = spark.createDataFrame([("a", ["y", "x"], 1), ("b", ["x"], None)], "id string, codes array<string>, n int")
+    assert [(r.id, r.column) for r in reports.entry_diff(left, right).collect()] == [("b", "n")]
+    assert {(r.path, r.value) for r in reports.paths(left).where("value = 'y' or path = 'n'").collect()} == {("codes[]", "y"), ("n", "1"), ("n", "2")}
+    got = spark.createDataFrame([("slang",), ("US",), ("Algebra",), ("dated",), ("none",)], "x string").select(reports.route_label(F.col("x")).alias("k")).collect()
+    assert [r.k for r in got] == ["register", "region", "domain", "temporal", None]
+    assert reports.available_filters({"a": [], "b": ["wikt"], "c": ["x"]}, ["wikt"]) == ["a", "b"]
