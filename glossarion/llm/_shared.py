@@ -32,7 +32,7 @@ class Workspace:
     def write(self, df: DataFrame, name: str) -> DataFrame:
         """Write ``df`` as Parquet and read it back: cuts lineage, survives lost executors."""
         path = f"{self.path}/{name}"
-        df.write.mode("overwrite").parquet(path)
+        df.write.mode("overwrite").option("compression", "zstd").parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
     def drop(self, *names: str) -> None:
