@@ -29,7 +29,9 @@ from pyspark.sql import functions as F
 from glossarion.llm._bytes import slices, spans, string_buffers
 
 MARK = "▁"
-MAX_CHUNKS = 300_000
+MAX_CHUNKS = 150_000
+#: Chunks given to the libraries at once.
+BATCH = 4096
 CHUNK = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 
@@ -123,45 +125,76 @@ def build_tokenizer(m: Model):
     return t
 
 
-class Codec:
+class Decoder:
+    """Ids to bytes; needs the parsed model alone."""
+
+    def __init__(self, path: str):
+        with open(path, "rb") as f:
+            self.model = m = parse_model(f.read())
+        raw = [bytes([int(p[3:5], 16)]) if k == BYTE else b"" if k == CONTROL else b" \xe2\x81\x87 " if k == UNKNOWN else p.replace(MARK, " ").encode() for p, _, k in m.pieces]
+        self.piece_lens = np.array([len(x) for x in raw], np.int64)
+        self.piece_at = np.cumsum(self.piece_lens) - self.piece_lens
+        self.piece_bytes = np.frombuffer(b"".join(raw), np.uint8)
+
+    def decode(self, ids: np.ndarray, lens: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(UTF-8 bytes of all texts, offsets), without the marker before a text."""
+        n = self.piece_lens[ids]
+        raw = self.piece_bytes[spans(self.piece_at[ids], n)]
+        off = np.concatenate([[0], np.cumsum(n)])[np.concatenate([[0], np.cumsum(lens)])]
+        if self.model.dummy_prefix:
+            head = off[:-1][np.diff(off) > 0]
+            head = head[raw[head] == 32]
+            keep = np.ones(len(raw), bool)
+            keep[head] = False
+            gone = np.concatenate([[0], np.cumsum(~keep)])
+            raw, off = raw[keep], off - gone[off]
+        return raw, off
+
+
+class Codec(Decoder):
     def __init__(self, path: str, threads: int = 1):
+        super().__init__(path)
         os.environ["TOKENIZERS_PARALLELISM"] = "true" if threads > 1 else "false"
         os.environ.setdefault("RAYON_NUM_THREADS", str(threads))
         import sentencepiece
         from tokenizers import Tokenizer
 
-        with open(path, "rb") as f:
-            self.model = m = parse_model(f.read())
+        m = self.model
         self.tokenizer = build_tokenizer(m)
         self.bare = Tokenizer(self.tokenizer.model)
         self.other = sentencepiece.SentencePieceProcessor(model_file=path)
         #: No piece has the marker after another character: chunks are independent.
         self.chunked = m.escape and not m.suffix and not any(MARK in p.lstrip(MARK) for p, _, k in m.pieces if k in (NORMAL, USER)) and not any(k == USER for _, _, k in m.pieces)
         self.plain = self.chunked and not m.charsmap and not m.collapse and m.dummy_prefix
-        raw = [bytes([int(p[3:5], 16)]) if k == BYTE else b"" if k == CONTROL else b" \xe2\x81\x87 " if k == UNKNOWN else p.replace(MARK, " ").encode() for p, _, k in m.pieces]
-        self.piece_lens = np.array([len(x) for x in raw], np.int64)
-        self.piece_at = np.cumsum(self.piece_lens) - self.piece_lens
-        self.piece_bytes = np.frombuffer(b"".join(raw), np.uint8)
         self.clear()
 
     def clear(self) -> None:
         self.index: dict[str, int] = {}
-        self.lens, self.at, self.agree = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, bool)
-        self.pool = np.zeros(0, np.uint32)
+        self.lens, self.at, self.agree = np.zeros(1 << 14, np.int64), np.zeros(1 << 14, np.int64), np.zeros(1 << 14, bool)
+        self.pool, self.used = np.zeros(1 << 16, np.uint32), 0
 
     def _learn(self, chunks: list[str]) -> None:
-        ids = [e.ids for e in self.bare.encode_batch_fast(chunks, add_special_tokens=False)]
-        if self.plain:
-            agree = [a == b for a, b in zip(ids, self.other.encode([c[1:].replace(MARK, " ") if c[0] == MARK else c for c in chunks]), strict=True)]
-            one = [self.other.piece_to_id(MARK)]  # alone it cannot be asked for: an empty text has no marker
-            agree = [x or c[0] != MARK or c == MARK and i == one for x, c, i in zip(agree, chunks, ids, strict=True)]
-        else:
-            agree = [True] * len(ids)  # whole texts are compared instead
-        lens = np.fromiter(map(len, ids), np.int64, len(ids))
-        self.at = np.concatenate([self.at, len(self.pool) + np.cumsum(lens) - lens])
-        self.lens, self.agree = np.concatenate([self.lens, lens]), np.concatenate([self.agree, agree])
-        self.pool = np.concatenate([self.pool, np.fromiter((x for y in ids for x in y), np.uint32, int(lens.sum()))])
-        self.index.update(zip(chunks, range(len(self.index), len(self.index) + len(chunks))))
+        """Ids of new chunks; in small batches, as the libraries' own results are large."""
+        one = [self.other.piece_to_id(MARK)]  # alone it cannot be asked for: an empty text has no marker
+        for k in range(0, len(chunks), BATCH):
+            some = chunks[k : k + BATCH]
+            ids = [e.ids for e in self.bare.encode_batch_fast(some, add_special_tokens=False)]
+            if self.plain:
+                both = self.other.encode([c[1:].replace(MARK, " ") if c[0] == MARK else c for c in some])
+                agree = [a == b or c[0] != MARK or c == MARK and a == one for a, b, c in zip(ids, both, some, strict=True)]
+            else:
+                agree = [True] * len(ids)  # whole texts are compared instead
+            lens = np.fromiter(map(len, ids), np.int64, len(ids))
+            n, m, total = len(self.index), len(ids), int(lens.sum())
+            while n + m > len(self.lens):
+                self.lens, self.at, self.agree = (np.concatenate([x, x]) for x in (self.lens, self.at, self.agree))
+            while self.used + total > len(self.pool):
+                self.pool = np.concatenate([self.pool, self.pool])
+            self.at[n : n + m] = self.used + np.cumsum(lens) - lens
+            self.lens[n : n + m], self.agree[n : n + m] = lens, agree
+            self.pool[self.used : self.used + total] = np.fromiter((x for y in ids for x in y), np.uint32, total)
+            self.used += total
+            self.index.update(zip(some, range(n, n + m)))
 
     def _lookup(self, chunks: list[str]) -> np.ndarray:
         if len(self.index) + len(chunks) > MAX_CHUNKS:
@@ -216,31 +249,22 @@ class Codec:
         wrong = np.concatenate([[0], np.cumsum(~self.agree[at])])
         return self.pool[spans(self.at[at], lens)], total[ends] - total[ends - counts], wrong[ends] == wrong[ends - counts]
 
-    def decode(self, ids: np.ndarray, lens: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(UTF-8 bytes of all texts, offsets), without the marker before a text."""
-        n = self.piece_lens[ids]
-        raw = self.piece_bytes[spans(self.piece_at[ids], n)]
-        off = np.concatenate([[0], np.cumsum(n)])[np.concatenate([[0], np.cumsum(lens)])]
-        if self.model.dummy_prefix:
-            head = off[:-1][np.diff(off) > 0]
-            head = head[raw[head] == 32]
-            keep = np.ones(len(raw), bool)
-            keep[head] = False
-            gone = np.concatenate([[0], np.cumsum(~keep)])
-            raw, off = raw[keep], off - gone[off]
-        return raw, off
-
 
 @lru_cache(maxsize=2)
 def codec(path: str, threads: int) -> Codec:
     return Codec(path, threads)
 
 
+@lru_cache(maxsize=2)
+def decoder(path: str) -> Decoder:
+    return Decoder(path)
+
+
 def _encode(path: str, threads: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = codec(path, threads)
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", 1 << 20):
                 ids, lens, agree = coder.encode(part.column("text"))
                 ends = np.concatenate([[0], np.cumsum(lens) * 4]).astype("<i4")
                 raw = pa.Array.from_buffers(pa.binary(), len(lens), [None, pa.py_buffer(ends.tobytes()), pa.py_buffer(ids.astype("<u4").tobytes())])
@@ -251,9 +275,9 @@ def _encode(path: str, threads: int):
 
 def _decode(path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = codec(path, 1)
+        coder = decoder(path)
         for batch in batches:
-            for part in slices(batch, "ids", 8 << 20):
+            for part in slices(batch, "ids", 2 << 20):
                 raw, off = string_buffers(part.column("ids"))
                 ids = np.frombuffer(raw.tobytes(), "<u4").astype(np.int64)
                 data, bounds = coder.decode(ids, np.diff(off) // 4)
