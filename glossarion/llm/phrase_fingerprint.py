@@ -8,10 +8,11 @@ A phrase's name is a hash of its names. Whether a phrase begins at a place
 depends on a few neighbours alone, so equal passages have equal inner phrases
 wherever they stand. Levels go on until one phrase is left.
 
-The fingerprint holds the 48 least of the phrases' 32-bit hashes, in base64;
+A set holds the 48 least of the phrases' 32-bit hashes, in base64;
 likeness is the estimate of the share of common phrases from two such sets.
-Phrases of the third level on count; in texts under 1000 code points of the
-second on, under 150 of the first. Null or empty text: an empty fingerprint,
+Phrases of the third level on count; where both texts have under 1000 code points
+those of the second on, under 150 of the first. A shorter text's fingerprint has a
+set for each of these levels, so both sides of a comparison hold the same levels. Null or empty text: an empty fingerprint,
 whose likeness to itself is 1 and to others 0. Work and memory of a batch are in
 proportion to its bytes.
 """
@@ -103,19 +104,29 @@ def _levels(texts: list[str]):
 
 
 def sketches(texts: list[str]) -> list[np.ndarray]:
-    """The least hashes of each text's phrases, sorted."""
+    """The lowest level counted, then for it and each level up to the third the number of least hashes and the hashes, sorted."""
     out = []
     for t, levels in zip(texts, _levels(texts), strict=True):
         if not levels:
             out.append(np.zeros(0, np.uint32))
             continue
         low = 0 if len(t) < 150 else 1 if len(t) < 1000 else 2
-        parts = [names[a:b] for names, a, b in levels[min(low, len(levels) - 1) :]]
-        h = np.unique((mix(np.concatenate(parts)) >> np.uint64(32)).astype(np.uint32))
-        out.append(h[:KEPT])
+        made = [np.array([low], np.uint32)]
+        for k in range(low, 3):
+            parts = [names[a:b] for names, a, b in levels[min(k, len(levels) - 1) :]]
+            h = np.unique((mix(np.concatenate(parts)) >> np.uint64(32)).astype(np.uint32))[:KEPT]
+            made += [np.array([len(h)], np.uint32), h]
+        out.append(np.concatenate(made))
     return out
 
 
+def _level(sketch: np.ndarray, level: int) -> np.ndarray:
+    at = 1
+    for _ in range(level - int(sketch[0])):
+        at += 1 + int(sketch[at])
+    return sketch[at + 1 : at + 1 + int(sketch[at])]
+
+
 def encoded(sketch: np.ndarray) -> str:
     return base64.b64encode(sketch.astype("<u4").tobytes()).decode()
 
@@ -128,6 +139,8 @@ def likeness(a: np.ndarray, b: np.ndarray) -> float:
     """Share of common phrases among the least of both."""
     if not len(a) or not len(b):
         return float(len(a) == len(b))
+    level = int(max(a[0], b[0]))
+    a, b = _level(a, level), _level(b, level)
     both = np.sort(np.concatenate([a, b]))
     twice = both[1:][both[1:] == both[:-1]]
     least = np.concatenate([both[:1], both[1:][both[1:] != both[:-1]]])

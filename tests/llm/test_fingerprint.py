@@ -61,3 +61,14 @@ def test_likeness_follows_common_share():
         near.append(pf.likeness(s[0], s[1]))
         far.append(pf.likeness(s[0], s[2]))
     assert 0.25 < np.mean(near) < 0.42 and min(near) > 0.1 and max(far) < 0.08
+
+
+def test_near_copies_on_both_sides_of_a_level_switch():
+    rng = random.Random(3)
+    for n in (150, 1000):
+        got = []
+        for _ in range(30):
+            t = "".join(rng.choice("abcdefghij ") for _ in range(n + 5))
+            a, b = pf.sketches([t, t[:-10]])
+            got.append(pf.likeness(a, b))
+        assert np.mean(got) > 0.6
