@@ -8,7 +8,7 @@ A phrase's name is a hash of its names. Whether a phrase begins at a place
 depends on a few neighbours alone, so equal passages have equal inner phrases
 wherever they stand. Levels go on until one phrase is left.
 
-A set holds the 48 least of the phrases' 32-bit hashes, in base64;
+A set holds the 64 least of the phrases' 32-bit hashes, in base64;
 likeness is the estimate of the share of common phrases from two such sets.
 Phrases of the third level on count; where both texts have under 1000 code points
 those of the second on, under 150 of the first. A shorter text's fingerprint has a
@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from glossarion.llm._bytes import BASES, mix, powers, slices
 from glossarion.llm._shared import Workspace
 
-KEPT = 48
+KEPT = 64
 ONE = np.uint64(1)
 RESULT = "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
 

@@ -72,3 +72,8 @@ def test_near_copies_on_both_sides_of_a_level_switch():
             a, b = pf.sketches([t, t[:-10]])
             got.append(pf.likeness(a, b))
         assert np.mean(got) > 0.6
+
+
+def test_sets_keep_64_hashes():
+    (s,) = pf.sketches([" ".join(map(str, range(5000)))])
+    assert s[:2].tolist() == [2, 64] and len(s) == 66
