@@ -29,7 +29,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without the lines that an earlier document has."""
-    return _with_text(line_runs.dedup_lines(docs), docs.columns)
+    return _with_text(line_runs.dedup_lines(docs, prefix="__lines_"), docs.columns)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -40,8 +40,8 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def suffix_array_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without the code points that repeated 200-byte strings cover."""
-    out = suffix_dedup.remove_repeats(docs, whole_characters=True)
-    return _with_text(out.withColumn("text", F.col("kept").cast("string")), docs.columns)
+    out = suffix_dedup.remove_repeats(docs, whole_characters=True, prefix="__cut_")
+    return _with_text(out.withColumn("text", F.col("__cut_kept").cast("string")), docs.columns)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

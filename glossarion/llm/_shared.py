@@ -50,6 +50,14 @@ class Workspace:
         self.spark._jvm.System.gc()
 
 
+def carried(docs: DataFrame, own: tuple[str, ...]) -> tuple[DataFrame, dict[str, str]]:
+    """``docs`` with every column but ``doc_id`` and ``text`` under a name of the operators' own, and
+    the names to give back. A column that is named like one of ``own`` results goes: it is replaced."""
+    taken = {c.lower() for c in own}
+    back = {f"__carried_{k}": c for k, c in enumerate(docs.columns) if c not in ("doc_id", "text") and c.lower() not in taken}
+    return docs.select("doc_id", F.col("text").cast("string").alias("text"), *(F.col(f"`{c}`").alias(k) for k, c in back.items())), back
+
+
 def text_or_empty(name: str = "text") -> Column:
     return F.coalesce(F.col(name), F.lit(""))
 

@@ -3,17 +3,23 @@
 Two permutations make all coordinates: the first places a shingle, the second,
 shifted by one place for each coordinate, gives its value; so the values of a
 shingle are one slice of the second permutation. Bands of coordinates make
-buckets. Links are confirmed on full sets of 64-bit shingle hashes.
+buckets. Links are confirmed on full sets of shingles, each named by a 64-bit hash.
 
 Equal sets collapse first. Buckets are then not expanded into pairs: in each of
 a few rounds every document is compared with one centre of each bucket that is
 not yet in its component; first with the document that has the fewest shingles
 of its own. Pairs that rounds leave open (same bucket, different components)
 go through a prefix filter: sets that reach the threshold share one of their
-rarest shingles. Throughout, shingles that a document shares with none bound its
-likeness to all others. Both tests are exact. No bucket, partner or candidate is capped.
-
-Null or empty text: an empty set, linked with nothing. With fewer words than a
+rarest shingles, and the first they share stands so early in both that what follows
+can still reach it. Sets meet in classes of the smaller one's size, and only
+where one of the two is not in a key's most common component. Throughout, shingles
+that a document shares with none bound its likeness to all others. These tests are
+exact. No bucket, partner or candidate is capped.
+
+Very long texts are whole sets; a batch is cut at texts, so one text is the bound of
+memory. Only ``doc_id`` and ``text`` are read, so no other column's name can clash.
+Ties and repeated rows: equal sets are always linked, of several centres as good the
+smallest id counts. Null or empty text: an empty set, linked with nothing. With fewer words than a
 shingle, the whole sequence is one. Rows of equal ``doc_id`` are one vertex; a
 null ``doc_id`` is a vertex of its own that counts as the smallest, its
 component is null. An empty table gives no row.
@@ -29,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from glossarion.llm._bytes import PrefixHash, mix, slices, string_buffers, words
+from glossarion.llm._bytes import mix, segment_hash, slices, string_buffers, words
 from glossarion.llm._shared import Workspace
 from glossarion.llm.components import components
 
@@ -42,7 +48,7 @@ def shingles(col: pa.Array, width: int) -> Iterator[np.ndarray]:
     """The sorted distinct shingle hashes of each text, A-Z folded."""
     data, off = string_buffers(col)
     start, end, row = words(data, off)
-    w = PrefixHash(data, 0, True).of(start, end) if len(start) else np.zeros(0, np.uint64)
+    w = segment_hash(data, start, end, 0, True)
     bounds = np.searchsorted(row, np.arange(len(col) + 1))
     n = max(0, len(w) - width + 1)
     h = np.zeros(n, np.uint64)
@@ -146,20 +152,43 @@ def _prefixes(share: tuple[int, int]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             docs, out = [], []
-            for doc, items in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+            for doc, k1, items in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), strict=True):
                 values = items.values
                 f, s = values.field(0).to_numpy(zero_copy_only=False), values.field(1).to_numpy(zero_copy_only=False)
                 n = len(s)
                 keep = n - -(-num * n // den) + 1
-                s = s[np.lexsort((s, f))[:keep]]
-                docs.append(np.full(len(s), doc, np.int64))
-                out.append(s)
+                at = np.lexsort((s, f))[:keep]
+                at, place = at[f[at] > 1], np.flatnonzero(f[at] > 1)
+                # as the smaller set of a pair: at least 2 * num * n / (num + den) shingles are shared, from the first on
+                short = place[(num + den) * (n - place) >= 2 * num * n]
+                sizes, roles, places, which = [np.full(len(short), _size_class(n))], [np.zeros(len(short), bool)], [short], [s[at[: len(short)]]]
+                # as the larger set: a row for each class that a set of num / den * n to n shingles may be of
+                for c in range(_size_class(-(-num * n // den)), _size_class(n) + 1):
+                    if c >= 64 and c & 63 < 32:  # no size has such a class
+                        continue
+                    least = max(_class_start(c), -(-num * n // den))
+                    long = place[(num + den) * (n - place) >= num * (n + least)]
+                    sizes.append(np.full(len(long), c)), roles.append(np.ones(len(long), bool)), places.append(long), which.append(s[at[: len(long)]])
+                out.append([np.concatenate(x) for x in (which, sizes, roles, places)])
+                docs.append([np.full(len(out[-1][0]), v, np.int64) for v in (doc, k1, n)])
             if out:
-                yield pa.RecordBatch.from_pydict({"doc": np.concatenate(docs), "s": np.concatenate(out)})
+                doc, k1, n = (np.concatenate(x) for x in zip(*docs, strict=True))
+                s, size, role, place = (np.concatenate(x) for x in zip(*out, strict=True))
+                yield pa.RecordBatch.from_pydict({"doc": doc, "k1": k1, "n": n, "s": s, "size": size.astype(np.int32), "larger": role, "place": place.astype(np.int64)})
 
     return run
 
 
+def _size_class(n: int) -> int:
+    """Sizes of one class differ by a 32nd at most."""
+    k = max(0, n.bit_length() - 6)
+    return (k << 6) + (n >> k)
+
+
+def _class_start(c: int) -> int:
+    return (c & 63) << (c >> 6)
+
+
 def near_duplicates(docs: DataFrame, width: int = 5, share: tuple[int, int] = (80, 100), bands: int = 36, rows: int = 5, rounds: int = 2) -> DataFrame:
     """doc_id, n_shingles, component_id, kept: one row for each row of ``docs``.
 
@@ -189,7 +218,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, share: tuple[int, int] = (8
 
     # shingles that no other document of a bucket has bound every likeness of theirs from above
     lone = sets.mapInArrow(_members, "doc long, k1 long, s long").groupBy("s").agg(F.count("*").alias("f"), F.min(F.struct("doc", "k1")).alias("x")).where("f = 1").groupBy("x.doc", "x.k1").agg(F.count("*").alias("lone"))
-    members = members.join(lone, ["doc", "k1"], "left").withColumn("r", F.col("n") - F.coalesce("lone", F.lit(0))).drop("lone", "k1").where(den * F.col("r") >= num * F.col("n"))
+    members = members.join(lone, ["doc", "k1"], "left").withColumn("r", F.col("n") - F.coalesce("lone", F.lit(0))).drop("lone").where(den * F.col("r") >= num * F.col("n"))
     members = space.write(members, "open")
 
     def possible(n: str, r: str, m: str, q: str):
@@ -219,19 +248,27 @@ def near_duplicates(docs: DataFrame, width: int = 5, share: tuple[int, int] = (8
         of = comps.select(F.col("v").alias("doc"), "comp")
         state = members.join(of, "doc", "left").withColumn("comp", F.coalesce("comp", "doc"))
         mixed = state.groupBy("band", "v").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("band", "v")
-        state = space.write(state.join(mixed, ["band", "v"]).select("band", "v", "doc", "n", "r", "comp"), f"state{k}")
+        state = space.write(state.join(mixed, ["band", "v"]).select("band", "v", "doc", "n", "k1", "r", "comp"), f"state{k}")
         if state.isEmpty():
             break
     else:
         # the exact rest
-        open_docs = state.select("doc", "n", "r", "comp").distinct()
-        held = space.write(sets.join(open_docs.select("doc"), "doc", "left_semi").mapInArrow(_members, "doc long, k1 long, s long").drop("k1"), "held")
+        open_sets = state.select("doc", "k1", "r", "comp").distinct()
+        held = space.write(sets.join(open_sets.select("doc"), "doc", "left_semi").mapInArrow(_members, "doc long, k1 long, s long").join(open_sets.select("doc", "k1"), ["doc", "k1"], "left_semi"), "held")
         common = held.groupBy("s").agg(F.count("*").alias("f")).where("f > 1")
-        ranked = held.join(common, "s", "left").select("doc", "s", F.coalesce("f", F.lit(1)).alias("f"))
-        firsts = ranked.groupBy("doc").agg(F.collect_list(F.struct("f", "s")).alias("items")).mapInArrow(_prefixes(share), "doc long, s long")
-        prefix = space.write(firsts.join(common.select("s"), "s", "left_semi").join(open_docs, "doc"), "prefix")
-        other = prefix.select("s", F.col("doc").alias("a"), F.col("n").alias("an"), F.col("r").alias("ar"), F.col("comp").alias("ac"))
-        rest = prefix.join(other, "s").where((F.col("a") < F.col("doc")) & (F.col("ac") != F.col("comp")) & possible("n", "r", "an", "ar")).select("a", F.col("doc").alias("b")).distinct()
+        ranked = held.join(common, "s", "left").select("doc", "k1", "s", F.coalesce("f", F.lit(1)).alias("f"))
+        grouped = ranked.groupBy("doc", "k1").agg(F.collect_list(F.struct("f", "s")).alias("items"))
+        schema = "doc long, k1 long, n long, s long, size int, larger boolean, place long"
+        prefix = space.write(grouped.mapInArrow(_prefixes(share), schema).join(open_sets, ["doc", "k1"]), "prefix")
+        # of each key the most common component: pairs within it are linked already
+        tops = prefix.groupBy("s", "size", "comp").agg(F.count("*").alias("x")).groupBy("s", "size").agg(F.max(F.struct("x", "comp")).alias("x"), F.count("*").alias("comps")).where("comps > 1").select("s", "size", F.col("x.comp").alias("top"))
+        keyed = prefix.join(tops, ["s", "size"])
+        small = keyed.where("not larger").select("s", "size", F.col("doc").alias("a"), F.col("n").alias("an"), F.col("r").alias("ar"), F.col("comp").alias("ac"), F.col("place").alias("ap"), F.col("top").alias("at"))
+        large = keyed.where("larger").drop("larger", "k1")
+        left = F.least(F.col("n") - F.col("place"), F.col("an") - F.col("ap"))
+        near = ((F.col("an") < F.col("n")) | (F.col("an") == F.col("n")) & (F.col("a") < F.col("doc"))) & (F.col("ac") != F.col("comp")) & possible("n", "r", "an", "ar") & ((num + den) * left >= num * (F.col("n") + F.col("an")))
+        meet = lambda x, y: x.join(y, ["s", "size"]).where(near).select(F.least("a", "doc").alias("a"), F.greatest("a", "doc").alias("b"))
+        rest = meet(small.where("ac <> at"), large).unionByName(meet(small.where("ac = at"), large.where("comp <> top"))).distinct()
         new = verified(space.write(untested(rest), "rest"), "last")
         if not new.isEmpty():
             comps = space.write(components(space, links.unionByName(new), "cc-"), "comps")

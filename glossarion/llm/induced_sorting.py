@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 
-from glossarion.llm._bytes import PrefixHash
+from glossarion.llm._bytes import segment_hash
 
 
 def _induce(t: np.ndarray, is_s: np.ndarray, heads: np.ndarray, tails: np.ndarray, seeds: list[np.ndarray]) -> np.ndarray:
@@ -135,7 +135,7 @@ def suffix_array(text: np.ndarray) -> np.ndarray:
         index = np.empty(n, np.int32)
         index[lms] = np.arange(len(lms))
         ends = np.concatenate([lms[1:] + 1, [n]])
-        sums = PrefixHash(np.concatenate([text, [0]]).astype(np.uint8), 1).of(lms, ends)
+        sums = segment_hash(np.concatenate([text, [0]]).astype(np.uint8), lms, ends, 1)
         sums[-1] ^= np.uint64(1 << 63)
         k = index[ordered]
         same = sums[k][1:] == sums[k][:-1]

@@ -24,8 +24,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from glossarion.llm._bytes import PrefixHash, slices, string_buffers
-from glossarion.llm._shared import Workspace
+from glossarion.llm._bytes import segment_hash, slices, string_buffers
+from glossarion.llm._shared import Workspace, carried
 
 KEY = ("k1", "k2")
 FIRST = -(1 << 63)
@@ -39,7 +39,7 @@ def _lines(col: pa.Array, min_chars: int):
     keys = pc.ascii_lower(pc.ascii_trim_whitespace(lines))
     long = pc.utf8_length(keys).to_numpy(zero_copy_only=False) >= min_chars
     data, off = string_buffers(keys)
-    hashes = [PrefixHash(data, seed).of(off[:-1], off[1:]).view(np.int64) for seed in (0, 1)]
+    hashes = [segment_hash(data, off[:-1], off[1:], seed).view(np.int64) for seed in (0, 1)]
     return lines, rows, hashes, long
 
 
@@ -135,15 +135,16 @@ def batches_of(docs: DataFrame, n: int) -> list[tuple[int | None, int | None]]:
     return list(zip([None, *cuts], [*cuts, None], strict=True))
 
 
-def dedup_lines(docs: DataFrame, min_chars: int = 10, batches: int = 4, fanout: int = 3, buckets: int | None = None) -> DataFrame:
+def dedup_lines(docs: DataFrame, min_chars: int = 10, batches: int = 4, fanout: int = 3, buckets: int | None = None, prefix: str = "") -> DataFrame:
     """``docs`` with the lines dropped from ``text``, and n_lines and n_dropped (long).
 
-    The names n_lines, n_dropped, doc and lost are the operator's; a column of ``docs``
-    of such a name is replaced.
+    ``prefix`` goes before the names of the two counts; a column of ``docs`` of such a
+    full name is replaced, all others pass through under any name.
     """
     spark = docs.sparkSession
     space = Workspace(spark, "line-runs")
-    docs = docs.drop("n_lines", "n_dropped", "doc", "lost")
+    counts, columns = (f"{prefix}n_lines", f"{prefix}n_dropped"), docs.columns
+    docs, back = carried(docs, counts)
     runs = Runs(spark, space, buckets or int(spark.conf.get("spark.sql.shuffle.partitions")), fanout)
     pairs_of = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(FIRST)).alias("doc"), F.col("text").cast("string"))
     lost, written = None, []
@@ -169,8 +170,8 @@ def dedup_lines(docs: DataFrame, min_chars: int = 10, batches: int = 4, fanout:
     by_doc = space.write(lost.groupBy("doc").agg(F.collect_list(F.struct(*KEY)).alias("lost")), "lost")
     runs.close()
     space.drop(*written) if written else None
-    others = [c for c in docs.columns if c not in ("doc_id", "text")]
-    joined = docs.withColumn("doc", F.coalesce(F.col("doc_id").cast("long"), F.lit(FIRST))).withColumn("text", F.col("text").cast("string")).join(by_doc, "doc", "left").drop("doc")
-    kept = [f for f in joined.schema.fields if f.name in ("doc_id", *others)]
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept) + ", text string, n_lines long, n_dropped long"
-    return joined.mapInArrow(_without(min_chars), schema).select(*docs.columns, "n_lines", "n_dropped")
+    joined = docs.withColumn("doc", F.coalesce(F.col("doc_id").cast("long"), F.lit(FIRST))).join(by_doc, "doc", "left").drop("doc")
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields if f.name != "text") + ", text string, n_lines long, n_dropped long"
+    names = {c: k for k, c in back.items()} | {"doc_id": "doc_id", "text": "text"}
+    out = joined.mapInArrow(_without(min_chars), schema)
+    return out.select(*(F.col(names[c]).alias(c) for c in columns if c in names), *(F.col(c).alias(prefix + c) for c in ("n_lines", "n_dropped")))

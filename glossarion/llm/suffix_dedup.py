@@ -16,7 +16,8 @@ Only counts and positions are shuffled in steps 1 and 2; texts are shuffled once
 step 3 and once for the result. Null or empty text: no bytes. Rows of equal
 ``doc_id`` stay apart unless their texts are equal too; such rows repeat each
 other. A null ``doc_id`` is kept. An empty table gives no row. Columns beyond
-``doc_id`` and ``text`` pass through; n_bytes, n_removed, n_spans, removed and kept are the operator's.
+``doc_id`` and ``text`` pass through. A very long text is searched in overlapping parts
+and cut as a whole. Ties: of repeated contents every place counts alike.
 """
 
 from __future__ import annotations
@@ -29,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from glossarion.llm._bytes import PrefixHash, slices, spans, string_buffers
-from glossarion.llm._shared import Workspace
+from glossarion.llm._shared import Workspace, carried
 from glossarion.llm.induced_sorting import permuted_common_prefixes, suffix_array
 
 FIRST = -(1 << 63)
@@ -82,7 +83,7 @@ def _blocks(data: np.ndarray, off: np.ndarray, length: int):
     """Row ranges of about BLOCK bytes; a longer row alone, in overlapping parts.
 
     Yields (first row, bytes, offsets, place of the part in its row)."""
-    i, n, part = 0, len(off) - 1, 1 << 23
+    i, n, part = 0, len(off) - 1, 1 << 21
     while i < n:
         j = max(i + 1, int(np.searchsorted(off, off[i] + BLOCK, "right")) - 1)
         if off[j] - off[i] <= part:
@@ -235,15 +236,18 @@ def _cut(length: int, whole_characters: bool):
     return run
 
 
-def remove_repeats(docs: DataFrame, length: int = 200, gram: int = 64, max_group: int = 20_000, whole_characters: bool = False) -> DataFrame:
+def remove_repeats(docs: DataFrame, length: int = 200, gram: int = 64, max_group: int = 20_000, whole_characters: bool = False, prefix: str = "") -> DataFrame:
     """``docs`` without ``text``; n_bytes, n_removed, n_spans (long), removed (spans), kept (the bytes left).
 
     ``whole_characters``: a code point goes only if all its bytes do, so what is left is valid UTF-8.
+    ``prefix`` goes before the names of the results; a column of ``docs`` of such a full name
+    is replaced, all others pass through under any name.
     """
     spark = docs.sparkSession
     space = Workspace(spark, "repeats")
-    own = ("n_bytes", "n_removed", "n_spans", "removed", "kept", "items", "found", *KEY)
-    docs = docs.drop(*own).withColumn("text", F.coalesce(F.col("text").cast("string"), F.lit("")))
+    own = ("n_bytes", "n_removed", "n_spans", "removed", "kept")
+    docs, back = carried(docs, tuple(prefix + c for c in own))
+    docs = docs.withColumn("text", F.coalesce("text", F.lit("")))
     keyed = docs.withColumn("doc", F.coalesce(F.col("doc_id").cast("long"), F.lit(FIRST))).withColumn("th", F.xxhash64("text"))
     texts = keyed.select("doc", "th", "text")
     found = space.write(texts.mapInArrow(_find_pieces(length, gram), "doc long, th long, s int, w int, h long, p long"), "pieces")
@@ -273,4 +277,5 @@ def remove_repeats(docs: DataFrame, length: int = 200, gram: int = 64, max_group
     joined = keyed.join(items, list(KEY), "left").join(more, list(KEY), "left")
     fields = [f for f in docs.schema.fields if f.name != "text"]
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields) + ", n_bytes long, n_removed long, n_spans long, removed array<struct<start:long,end:long>>, kept binary"
-    return joined.mapInArrow(_cut(length, whole_characters), schema)
+    out = joined.mapInArrow(_cut(length, whole_characters), schema)
+    return out.select("doc_id", *(F.col(k).alias(c) for k, c in back.items()), *(F.col(c).alias(prefix + c) for c in own))
