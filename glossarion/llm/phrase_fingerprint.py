@@ -10,11 +10,12 @@ wherever they stand. Levels go on until one phrase is left.
 
 A set holds the 64 least of the phrases' 32-bit hashes, in base64;
 likeness is the estimate of the share of common phrases from two such sets.
-Phrases of the third level on count; where both texts have under 1000 code points
-those of the second on, under 150 of the first. A shorter text's fingerprint has a
-set for each of these levels, so both sides of a comparison hold the same levels. Null or empty text: an empty fingerprint,
-whose likeness to itself is 1 and to others 0. Work and memory of a batch are in
-proportion to its bytes.
+Phrases of the second level on count (some ten characters and more), whatever the
+length, so equal passages of a short and a long text share their phrases; a text
+with one level counts that. Null or empty text: an empty fingerprint, whose likeness
+to itself is 1 and to others 0. Very long texts stay whole: work and memory of a
+batch are in proportion to its bytes. An empty table gives no row. Columns beyond
+``doc_id`` and ``text`` are not read, so no name can clash.
 """
 
 from __future__ import annotations
@@ -29,7 +30,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from glossarion.llm._bytes import BASES, mix, powers, slices
+from glossarion.llm._bytes import mix, slices
 from glossarion.llm._shared import Workspace
 
 KEPT = 64
@@ -70,11 +71,12 @@ def parse(names: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     right[ends - 1] = 127  # no phrase begins at a sequence's last place
     cut = first | ((label > left) & (label >= right))
     head = np.flatnonzero(cut)
-    sums = np.zeros(len(x) + 1, np.uint64)
-    np.cumsum(mix(x) * powers(BASES[0], len(x)), out=sums[1:])
+    # a phrase's name: the sum of a mixed value for each name and its place in the phrase
     tail = np.concatenate([head[1:], [len(x)]])
-    inverse = powers(pow(BASES[0], -1, 1 << 64), len(x) + 1)
-    made = mix((sums[tail] - sums[head]) * inverse[head] + (tail - head).astype(np.uint64))
+    place = np.arange(len(x)) - np.repeat(head, tail - head)
+    sums = np.zeros(len(x) + 1, np.uint64)
+    np.cumsum(mix(x + place.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)), out=sums[1:])
+    made = mix(sums[tail] - sums[head] + (tail - head).astype(np.uint64))
     return made, np.concatenate([np.searchsorted(head, starts), [len(head)]])
 
 
@@ -104,29 +106,14 @@ def _levels(texts: list[str]):
 
 
 def sketches(texts: list[str]) -> list[np.ndarray]:
-    """The lowest level counted, then for it and each level up to the third the number of least hashes and the hashes, sorted."""
+    """The least hashes, sorted, of each text's phrases of the second level on."""
     out = []
-    for t, levels in zip(texts, _levels(texts), strict=True):
-        if not levels:
-            out.append(np.zeros(0, np.uint32))
-            continue
-        low = 0 if len(t) < 150 else 1 if len(t) < 1000 else 2
-        made = [np.array([low], np.uint32)]
-        for k in range(low, 3):
-            parts = [names[a:b] for names, a, b in levels[min(k, len(levels) - 1) :]]
-            h = np.unique((mix(np.concatenate(parts)) >> np.uint64(32)).astype(np.uint32))[:KEPT]
-            made += [np.array([len(h)], np.uint32), h]
-        out.append(np.concatenate(made))
+    for levels in _levels(texts):
+        parts = [names[a:b] for names, a, b in levels[min(1, len(levels) - 1) :]] if levels else []
+        out.append(np.unique((mix(np.concatenate(parts)) >> np.uint64(32)).astype(np.uint32))[:KEPT] if parts else np.zeros(0, np.uint32))
     return out
 
 
-def _level(sketch: np.ndarray, level: int) -> np.ndarray:
-    at = 1
-    for _ in range(level - int(sketch[0])):
-        at += 1 + int(sketch[at])
-    return sketch[at + 1 : at + 1 + int(sketch[at])]
-
-
 def encoded(sketch: np.ndarray) -> str:
     return base64.b64encode(sketch.astype("<u4").tobytes()).decode()
 
@@ -139,8 +126,6 @@ def likeness(a: np.ndarray, b: np.ndarray) -> float:
     """Share of common phrases among the least of both."""
     if not len(a) or not len(b):
         return float(len(a) == len(b))
-    level = int(max(a[0], b[0]))
-    a, b = _level(a, level), _level(b, level)
     both = np.sort(np.concatenate([a, b]))
     twice = both[1:][both[1:] == both[:-1]]
     least = np.concatenate([both[:1], both[1:][both[1:] != both[:-1]]])

@@ -63,6 +63,21 @@ def test_likeness_follows_common_share():
     assert 0.25 < np.mean(near) < 0.42 and min(near) > 0.1 and max(far) < 0.08
 
 
+def test_likeness_does_not_depend_on_length_classes():
+    """A text and its first part, near the lengths at which levels were once switched and elsewhere."""
+    rng = random.Random(7)
+    means = []
+    for n in (140, 150, 160, 300, 990, 1000, 1010, 3000):
+        got = []
+        for _ in range(40):
+            t = "".join(rng.choice("abcdefghij ") for _ in range(n + n // 20))
+            a, b = pf.sketches([t, t[:n]])
+            got.append(pf.likeness(a, b))
+        means.append(np.mean(got))
+    # short texts have few phrases, of which an end breaks some; there is no jump between neighbouring lengths
+    assert min(means) > 0.7 and np.ptp(means[:3]) < 0.1 and np.ptp(means[4:7]) < 0.05
+
+
 def test_near_copies_on_both_sides_of_a_level_switch():
     rng = random.Random(3)
     for n in (150, 1000):
@@ -76,4 +91,4 @@ def test_near_copies_on_both_sides_of_a_level_switch():
 
 def test_sets_keep_64_hashes():
     (s,) = pf.sketches([" ".join(map(str, range(5000)))])
-    assert s[:2].tolist() == [2, 64] and len(s) == 66
+    assert len(s) == 64
