@@ -2,14 +2,16 @@
 
 A file holds blocks. A block holds whole documents: their ids and lengths, the
 rules of its grammar, the expansion length of every symbol and the sequence of
-symbols. In each round the most frequent pairs of neighbouring symbols become
-new symbols; a pair overlapping the pair before it waits. The container is
+symbols, with the number of ids before every 1024th of them. In each round the most
+frequent pairs of neighbouring symbols become new symbols; a pair overlapping the pair
+before it waits. Rounds go on until no pair is frequent. The container is
 Parquet written by Spark, so any store that Spark writes will do, and a lost
 executor's part is written again.
 
 Null text: an empty document. A null ``doc_id`` sorts first. Equal ids keep
 all their rows, one after another. An empty table gives an empty store.
-Columns beyond ``doc_id`` and ``text`` are not read.
+Columns beyond ``doc_id`` and ``text`` are not read, so no name can clash. A very long
+text is one document of one block, whose size it sets.
 """
 
 from __future__ import annotations
@@ -26,42 +28,57 @@ from glossarion.llm._bytes import slices
 from glossarion.llm.wordids import word_ids
 
 BLOCK_TOKENS = 1 << 19
-STORE_SCHEMA = "part int, block int, start long, n_tokens long, has_id binary, doc_ids binary, doc_lens binary, first_rule int, rules binary, width int, symbols binary"
+#: Symbols between two places of which a block stores how many ids come before.
+MARK = 1 << 10
+#: Bits of a hash slot of pairs.
+SLOTS = 18
+STORE_SCHEMA = "part int, block int, start long, n_tokens long, has_id binary, doc_ids binary, doc_lens binary, first_rule int, rules binary, rule_lens binary, width int, symbols binary, marks binary"
 READ_SCHEMA = "part int, doc_id long, start long, n_tokens long, ids binary"
 
 
-def compress(ids: np.ndarray, rounds: int = 4, per_round: int = 512, least: int = 16) -> tuple[int, np.ndarray, np.ndarray]:
-    """(first nonterminal, rules as pairs, symbols).
+def compress(ids: np.ndarray, per_round: int = 4096, least: int = 16) -> tuple[int, np.ndarray, np.ndarray]:
+    """(first nonterminal, rules as pairs, symbols), once no pair occurs ``least`` times.
 
-    A round counts all pairs by a hash, looks closer at pairs in frequent hash
-    slots, and replaces the ``per_round`` most frequent that occur ``least`` times.
+    A round puts pairs into hash slots, counts the last pair of each frequent slot, and replaces the
+    ``per_round`` most frequent. Another round has another hash; if none of its slots shows a
+    frequent pair though some are full, pairs in full slots are sorted and counted.
     """
     seq = ids.astype(np.uint32)
     first = int(seq.max()) + 1 if len(seq) else 0
     rules: list[np.ndarray] = []
-    top = first
-    for _ in range(rounds):
-        if len(seq) < 2:
-            break
+    top, turn, held = first, 0, np.zeros(1 << SLOTS, np.uint64)
+    place_of = np.full(1 << SLOTS, -1, np.int32)
+    while len(seq) > 1:
         pair = (seq[:-1].astype(np.uint64) << np.uint64(32)) | seq[1:]
-        slot = ((pair * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(46)).astype(np.int32)
-        counts = np.bincount(slot, minlength=1 << 18)
-        bar = max(least, int(np.partition(counts, -4 * per_round)[-4 * per_round]))
-        at = np.flatnonzero(counts[slot] >= bar)
-        kinds, n = np.unique(pair[at], return_counts=True)
-        best = np.argsort(-n, kind="stable")[:per_round]
-        best = best[n[best] >= least]
-        if not len(best):
+        turn += 1
+        slot = ((pair * np.uint64(0x9E3779B97F4A7C15 + 2 * turn)) >> np.uint64(64 - SLOTS)).astype(np.int32)
+        at = np.flatnonzero((np.bincount(slot, minlength=1 << SLOTS) >= least)[slot])
+        if not len(at):
             break
-        chosen = np.sort(kinds[best])
-        place = np.searchsorted(chosen, pair[at])
-        hit = chosen[np.minimum(place, len(chosen) - 1)] == pair[at]
-        at, place = at[hit], place[hit]
+        pair, slot = pair[at], slot[at]
+        held[slot] = pair
+        mine = held[slot] == pair
+        counts = np.bincount(slot[mine], minlength=1 << SLOTS)
+        best = np.flatnonzero(counts >= least)
+        if len(best):
+            best = best[np.argsort(-counts[best], kind="stable")[:per_round]]
+            chosen = held[best]
+            place_of[best] = np.arange(len(best))
+            place = np.where(mine, place_of[slot], -1)
+            place_of[best] = -1
+        else:
+            kinds, n = np.unique(pair, return_counts=True)
+            best = np.argsort(-n, kind="stable")[:per_round]
+            chosen = np.sort(kinds[best[n[best] >= least]])
+            if not len(chosen):
+                break
+            place = np.minimum(np.searchsorted(chosen, pair), len(chosen) - 1)
+            place[chosen[place] != pair] = -1
+        at, place = at[place >= 0], place[place >= 0]
         run = np.concatenate([[True], np.diff(at) > 1])
         begin = at[run][np.cumsum(run) - 1]
         keep = (at - begin) % 2 == 0
         at, place = at[keep], place[keep]
-        seq = seq.copy()
         seq[at] = top + place
         left = np.ones(len(seq), bool)
         left[at + 1] = False
@@ -71,50 +88,61 @@ def compress(ids: np.ndarray, rounds: int = 4, per_round: int = 512, least: int
     return first, np.concatenate(rules) if rules else np.zeros((0, 2), np.uint32), seq
 
 
+def expansion_lengths(first: int, rules: np.ndarray) -> np.ndarray:
+    """How many ids each rule stands for; a rule names only ids and rules before it."""
+    lens: list[int] = []
+    for a, b in rules.tolist():
+        lens.append((lens[a - first] if a >= first else 1) + (lens[b - first] if b >= first else 1))
+    return np.array(lens, np.int64)
+
+
 class Grammar:
-    """Decodes one block, or any range of its ids by the expansion lengths."""
-
-    def __init__(self, first: int, rules: np.ndarray, symbols: np.ndarray):
-        self.first, self.symbols = first, symbols.astype(np.int64)
-        lens, parts = np.ones(len(rules), np.int64), []
-        for i, (a, b) in enumerate(rules.astype(np.int64)):
-            x = parts[a - first] if a >= first else np.array([a], np.uint32)
-            y = parts[b - first] if b >= first else np.array([b], np.uint32)
-            parts.append(np.concatenate([x, y]))
-            lens[i] = len(parts[-1])
-        self.flat = np.concatenate(parts) if parts else np.zeros(0, np.uint32)
-        self.begin = np.concatenate([[0], np.cumsum(lens)[:-1]]).astype(np.int64) if parts else np.zeros(0, np.int64)
-        self.lens = lens
-
-    def lengths(self) -> np.ndarray:
-        out = np.ones(len(self.symbols), np.int64)
-        big = self.symbols >= self.first
-        out[big] = self.lens[self.symbols[big] - self.first]
-        return out
+    """Decodes one block, or any range of its ids, by the stored expansion lengths.
 
-    def _expand(self, symbols: np.ndarray, lens: np.ndarray) -> np.ndarray:
-        total = int(lens.sum())
-        ends = np.cumsum(lens)
-        out = np.empty(total, np.uint32)
-        big = symbols >= self.first
-        out[(ends - lens)[~big]] = symbols[~big]
-        if big.any():
-            from glossarion.llm._bytes import spans
+    ``marks``: the ids before each ``MARK``-th symbol. A range reads the symbols between the
+    marks around it and expands those that cover it, and only the rules that these name.
+    """
 
-            out[spans((ends - lens)[big], lens[big])] = self.flat[spans(self.begin[symbols[big] - self.first], lens[big])]
+    def __init__(self, first: int, rules: np.ndarray, symbols: np.ndarray, lens: np.ndarray | None = None, marks: np.ndarray | None = None):
+        self.first, self.rules, self.symbols = first, rules, symbols
+        self.lens = expansion_lengths(first, rules) if lens is None else lens.astype(np.int64)
+        self.marks = self.marks_of(first, self.lens, symbols) if marks is None else marks.astype(np.int64)
+
+    @staticmethod
+    def marks_of(first: int, lens: np.ndarray, symbols: np.ndarray) -> np.ndarray:
+        n = np.ones(len(symbols), np.int64)
+        n[symbols >= first] = lens[symbols[symbols >= first] - first]
+        return np.concatenate([[0], np.cumsum(n)])[:-1:MARK] if len(n) else np.zeros(0, np.int64)
+
+    def _expand(self, symbols: np.ndarray) -> np.ndarray:
+        out = symbols.astype(np.uint32)
+        while (big := out >= self.first).any():
+            n = 1 + big.astype(np.int64)
+            ends, rule = np.cumsum(n), self.rules[out[big] - self.first]
+            longer = np.empty(int(ends[-1]), np.uint32)
+            longer[(ends - n)[~big]] = out[~big]
+            at = (ends - n)[big]
+            longer[at], longer[at + 1] = rule[:, 0], rule[:, 1]
+            out = longer
         return out
 
     def decode(self) -> np.ndarray:
-        return self._expand(self.symbols, self.lengths())
+        return self._expand(self.symbols)
 
     def decode_range(self, start: int, stop: int) -> np.ndarray:
-        """ids[start:stop], expanding only the symbols that cover them."""
-        ends = np.cumsum(self.lengths())
-        i, j = int(np.searchsorted(ends, start, "right")), int(np.searchsorted(ends, stop, "left")) + 1
-        lens = self.lengths()[i:j]
-        got = self._expand(self.symbols[i:j], lens)
-        before = int(ends[i - 1]) if i else 0
-        return got[start - before : stop - before]
+        """ids[start:stop]."""
+        if stop <= start:
+            return np.zeros(0, np.uint32)
+        i = (int(np.searchsorted(self.marks, start, "right")) - 1) * MARK
+        j = int(np.searchsorted(self.marks, stop, "left")) * MARK
+        some = self.symbols[i:j]
+        n = np.ones(len(some), np.int64)
+        big = some >= self.first
+        n[big] = self.lens[some[big].astype(np.int64) - self.first]
+        ends = int(self.marks[i // MARK]) + np.cumsum(n)
+        a, b = int(np.searchsorted(ends, start, "right")), int(np.searchsorted(ends, stop, "left")) + 1
+        before = int(ends[a] - n[a])
+        return self._expand(some[a:b])[start - before : stop - before]
 
 
 def _blocks(path: str, end_id: int | None):
@@ -126,16 +154,18 @@ def _blocks(path: str, end_id: int | None):
             all_ids, all_lens = np.concatenate(ids), np.concatenate(lens)
             doc = pa.concat_arrays(names)
             first, rules, symbols = compress(all_ids)
+            rule_lens = expansion_lengths(first, rules)
+            marks = Grammar.marks_of(first, rule_lens, symbols)
             width = 2 if not len(symbols) or int(symbols.max()) < 1 << 16 else 4
             return pa.RecordBatch.from_pydict(
                 {"part": pa.array([part], pa.int32()), "block": pa.array([block], pa.int32()), "start": [start], "n_tokens": [len(all_ids)],
                  "has_id": [np.asarray(doc.is_valid()).astype(np.uint8).tobytes()], "doc_ids": [doc.fill_null(0).to_numpy(zero_copy_only=False).astype("<i8").tobytes()],
                  "doc_lens": [all_lens.astype("<u4").tobytes()], "first_rule": pa.array([first], pa.int32()), "rules": [rules.astype("<u4").tobytes()],
-                 "width": pa.array([width], pa.int32()), "symbols": [symbols.astype(f"<u{width}").tobytes()]}
+                 "rule_lens": [rule_lens.astype("<u4").tobytes()], "width": pa.array([width], pa.int32()), "symbols": [symbols.astype(f"<u{width}").tobytes()], "marks": [marks.astype("<u4").tobytes()]}
             )
 
         for batch in batches:
-            for piece in slices(batch, "text"):
+            for piece in slices(batch, "text", 4 << 20):
                 got, n = coder.encode(piece.column("text"))
                 if end_id is not None:
                     got, n = np.insert(got, np.cumsum(n), end_id), n + 1
@@ -169,11 +199,16 @@ def write_token_store(docs: DataFrame, path: str, tokenizer_path: str, end_id: i
     )
 
 
+def _grammar(row: dict) -> Grammar:
+    rules = np.frombuffer(row["rules"], "<u4").reshape(-1, 2)
+    lens, marks = (np.frombuffer(row[c], "<u4") for c in ("rule_lens", "marks"))
+    return Grammar(row["first_rule"], rules, np.frombuffer(row["symbols"], f"<u{row['width']}"), lens, marks)
+
+
 def _documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for row in batch.to_pylist():
-            rules = np.frombuffer(row["rules"], "<u4").reshape(-1, 2)
-            ids = Grammar(row["first_rule"], rules, np.frombuffer(row["symbols"], f"<u{row['width']}")).decode().astype("<u4")
+            ids = _grammar(row).decode().astype("<u4")
             lens = np.frombuffer(row["doc_lens"], "<u4").astype(np.int64)
             ends = np.cumsum(lens)
             has = np.frombuffer(row["has_id"], np.uint8).astype(bool)
@@ -199,3 +234,22 @@ def read_token_store(spark: SparkSession, path: str) -> DataFrame:
     docs = store.mapInArrow(_documents, READ_SCHEMA)
     at = spark.createDataFrame(offsets, "part int, before long")
     return docs.join(F.broadcast(at), "part").select("doc_id", (F.col("start") + F.col("before")).alias("start"), "n_tokens", "ids")
+
+
+def read_documents(spark: SparkSession, path: str, doc_ids: list[int]) -> DataFrame:
+    """doc_id, n_tokens and ids of a few documents by random access: of a block only the ranges
+    of these documents are expanded. ``doc_ids`` is the caller's own, short list."""
+    wanted = np.unique(np.array(doc_ids, np.int64))
+
+    def some(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                names, has = np.frombuffer(row["doc_ids"], "<i8"), np.frombuffer(row["has_id"], np.uint8).astype(bool)
+                ends = np.cumsum(np.frombuffer(row["doc_lens"], "<u4").astype(np.int64))
+                at = np.flatnonzero(has & np.isin(names, wanted))
+                if len(at):
+                    grammar, begin = _grammar(row), np.concatenate([[0], ends])
+                    ids = [grammar.decode_range(int(begin[k]), int(ends[k])).astype("<u4").tobytes() for k in at]
+                    yield pa.RecordBatch.from_pydict({"doc_id": names[at], "n_tokens": ends[at] - begin[at], "ids": pa.array(ids, pa.binary())})
+
+    return spark.read.schema(STORE_SCHEMA).parquet(path).mapInArrow(some, "doc_id long, n_tokens long, ids binary")

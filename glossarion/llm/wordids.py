@@ -8,7 +8,6 @@ closing signs, go straight to the model; all others through the whole library.
 
 from __future__ import annotations
 
-import re
 from functools import lru_cache
 
 import numpy as np
@@ -17,10 +16,10 @@ import pyarrow.compute as pc
 
 from glossarion.llm._bytes import spans
 
-#: Words a worker keeps; beyond it the memory is emptied and filled anew.
-MAX_WORDS = 300_000
+#: Words, and word parts, that a worker keeps; beyond it they are forgotten and learned anew.
+MAX_WORDS, MAX_PIECES = 150_000, 300_000
 
-PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\[-`{-~]*)")
+PLAIN = r"^(?P<head>[A-Za-zÀ-ÖØ-öø-ÿ]+)(?P<tail>[!-&(-/:-@\[-`{-~]*)$"
 
 
 def byte_letters() -> list[str]:
@@ -57,57 +56,60 @@ class WordIds:
             self.fast &= self.encode(pa.array([w]))[0].tolist() == self.tokenizer.encode(w, add_special_tokens=False).ids
         self.clear()
 
-    def clear(self) -> None:
+    def clear(self, words_only: bool = False) -> None:
         self.index: dict[str, int] = {"": 0}
+        if words_only:
+            return
         self.pieces: dict[str, int] = {}
         self.long: dict[int, np.ndarray] = {}  # words of very many ids
         self.fresh: list[int] = []
         self.places = np.zeros((1 << 16, 2), np.int64)
         self.pool, self.used = np.zeros(1 << 18, np.uint32), 0
 
-    def _piece(self, piece: str) -> int:
-        """Its place in the pool, and in the low 16 bits the number of its ids."""
-        got = self.pieces.get(piece)
-        if got is None:
-            word = piece if piece.isascii() else "".join([self.letters[b] for b in piece.encode()])
-            got = self._place([t.id for t in self.model.tokenize(word)])
-            self.pieces[piece] = got
-        return got
+    def _pieces(self, col: pa.Array) -> np.ndarray:
+        """For each piece its place in the pool, and in the low 16 bits the number of its ids; 0 for an empty one."""
+        coded = col.dictionary_encode()
+        known, letters, tokenize, place, got = self.pieces, self.letters, self.model.tokenize, self._place, []
+        for piece in coded.dictionary.to_pylist():
+            at = known.get(piece)
+            if at is None:
+                word = piece if piece.isascii() else "".join([letters[b] for b in piece.encode()])
+                at = known[piece] = place([t.id for t in tokenize(word)]) if piece else 0
+            got.append(at)
+        return np.array(got, np.int64)[coded.indices.to_numpy(zero_copy_only=False)]
 
     def _place(self, ids: list[int]) -> int:
         at = self.used + len(self.fresh)
         self.fresh += ids
         return at << 16 | len(ids)
 
-    def _learn(self, missing: list[str]) -> None:
+    def _learn(self, words: pa.Array) -> None:
         """Places of new words: of the letters and of the closing signs, or of the whole word in pieces of 65,535 ids."""
-        n, match, piece, odd = len(self.index), PLAIN.fullmatch, self._piece, []
-        heads, tails = [0] * len(missing), [0] * len(missing)
-        for i, w in enumerate(missing):
-            m = match(w) if self.fast and len(w) < 10_000 else None
-            if m is None:
-                odd.append(i)
-                continue
-            heads[i] = piece(m[1].lower())
-            if m[2]:
-                tails[i] = piece(m[2])
+        n, new = len(self.index), len(words)
+        places, missing = np.zeros((new, 2), np.int64), words.to_pylist()
+        plain = np.zeros(new, bool)
+        if self.fast:
+            parts = pc.extract_regex(words, PLAIN)
+            plain = np.asarray(parts.is_valid()) & (pc.utf8_length(words).to_numpy(zero_copy_only=False) < 10_000)
+            parts = parts.filter(pa.array(plain))
+            places[plain, 0] = self._pieces(pc.utf8_lower(parts.field("head")))
+            places[plain, 1] = self._pieces(parts.field("tail"))
+        odd = np.flatnonzero(~plain).tolist()
         for i, e in zip(odd, self.tokenizer.encode_batch([missing[i] for i in odd], add_special_tokens=False), strict=True):
             ids = e.ids
             if len(ids) > 120_000:
                 self.long[n + i] = np.array(ids, np.uint32)
                 continue
-            heads[i] = self._place(ids[:60_000])
-            tails[i] = self._place(ids[60_000:])
+            places[i] = self._place(ids[:60_000]), self._place(ids[60_000:])
         while self.used + len(self.fresh) > len(self.pool):
             self.pool = np.concatenate([self.pool, self.pool])
         self.pool[self.used : self.used + len(self.fresh)] = self.fresh
         self.used += len(self.fresh)
         self.fresh = []
-        while n + len(missing) > len(self.places):
+        while n + new > len(self.places):
             self.places = np.concatenate([self.places, self.places])
-        self.places[n : n + len(missing), 0] = heads
-        self.places[n : n + len(missing), 1] = tails
-        self.index.update(zip(missing, range(n, n + len(missing))))
+        self.places[n : n + new] = places
+        self.index.update(zip(missing, range(n, n + new)))
 
     def encode(self, col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts one after another, number of ids of each text); a null is empty."""
@@ -117,14 +119,14 @@ class WordIds:
         coded = split.values.dictionary_encode() if split.offset == 0 else split.flatten().dictionary_encode()
         distinct = coded.dictionary.to_pylist()
         if len(self.index) + len(distinct) > MAX_WORDS:
-            self.clear()
+            self.clear(len(self.pieces) < MAX_PIECES and not self.long and self.used < 8 * MAX_PIECES)
         find = self.index.get
         at = [find(w, -1) for w in distinct]
         at = np.array(at, np.int64) if at else np.zeros(0, np.int64)
         missing = np.flatnonzero(at < 0)
         if len(missing):
             n = len(self.index)
-            self._learn([distinct[i] for i in missing])
+            self._learn(coded.dictionary.take(pa.array(missing)))
             at[missing] = np.arange(n, n + len(missing))
         at = at[coded.indices.to_numpy(zero_copy_only=False)]
         places = self.places[at].ravel()
