@@ -8,8 +8,10 @@ task packs its own rows: nothing is shuffled. What is left of a task at its end
 is closed at powers of two, so no id is padding.
 
 Null text: an empty document, which is its end id alone. Repeated rows are
-packed once each. An empty table gives no row. Columns beyond ``doc_id`` and
-``text`` are not read.
+packed once each. An empty table gives no row. Of the columns only ``doc_id``,
+``text`` and what ``loss`` names are read, so no name can clash. A very long text is
+cut over as many sequences as it fills. Ties in the dot product go to the example
+that came first.
 """
 
 from __future__ import annotations
@@ -19,7 +21,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from glossarion.llm._bytes import slices
@@ -64,9 +66,7 @@ class Bins:
                 if score[k] < 0:
                     break
                 doc, start, ids, total, loss = items[k]
-                take = min(int(left[0]), len(ids))
-                if loss is not None:
-                    take = min(take, int(np.searchsorted(np.cumsum(loss), left[2], "right")))
+                take = min(int(left[0]), len(ids), int(left[2]) if loss is None else int(np.searchsorted(np.cumsum(loss), left[2], "right")))
                 if not take:
                     break
                 bin_.append((doc, start, ids[:take], total, None if loss is None else loss[:take]))
@@ -97,7 +97,7 @@ class Bins:
         self.limits[0] = full
 
 
-def _pack(path: str, end_id: int | None, limits: tuple[int, int, int]):
+def _pack(path: str, end_id: int | None, limits: tuple[int, int, int], flagged: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder, sequence, bins = word_ids(path), TaskContext.get().partitionId() << 36, Bins(limits)
 
@@ -115,13 +115,14 @@ def _pack(path: str, end_id: int | None, limits: tuple[int, int, int]):
                 yield pa.RecordBatch.from_arrays([*(pa.array(c, pa.int64()) for c in cols[:6]), pa.array(cols[6], pa.binary())], names=["doc_id", "start", "length", "doc_tokens", "sequence_id", "offset", "ids"])
 
         for batch in batches:
-            for piece in slices(batch, "text"):
+            for piece in slices(batch, "text", 4 << 20):
                 ids, lens = coder.encode(piece.column("text"))
                 if end_id is not None:
                     ids, lens = np.insert(ids, np.cumsum(lens), end_id), lens + 1
                 ends = np.cumsum(lens)
-                for doc, a, b in zip(piece.column("doc_id").to_pylist(), ends - lens, ends, strict=True):
-                    bins.add(doc, ids[a:b])
+                bears = piece.column("loss").fill_null(False).to_pylist() if flagged else [True] * len(lens)
+                for doc, a, b, some in zip(piece.column("doc_id").to_pylist(), ends - lens, ends, bears, strict=True):
+                    bins.add(doc, ids[a:b], None if some else np.zeros(b - a, bool))
                 if len(bins.items) >= POOL:
                     yield from out(_full_first(bins, limits[0]))
         yield from out(_full_first(bins, limits[0]))
@@ -134,20 +135,26 @@ def _full_first(bins: Bins, most: int) -> Iterator[list[tuple]]:
     """Sequences that one document fills alone, then bins of what remains."""
     kept = []
     for doc, start, ids, total, loss in bins.items:
-        while len(ids) >= most and loss is None and bins.limits[2] >= most:
-            yield [(doc, start, ids[:most], total, None)]
-            start, ids = start + most, ids[most:]
+        while len(ids) >= most and (bins.limits[2] >= most if loss is None else not loss[:most].any()):
+            yield [(doc, start, ids[:most], total, None if loss is None else loss[:most])]
+            start, ids, loss = start + most, ids[most:], None if loss is None else loss[most:]
         if len(ids):
             kept.append((doc, start, ids, total, loss))
     bins.items = kept
     yield from bins.fill(16 * most)
 
 
-def pack(docs: DataFrame, tokenizer_path: str, end_id: int | None = 2, max_tokens: int = 4096, max_segments: int = 1024, max_loss_tokens: int | None = None) -> DataFrame:
+def pack(docs: DataFrame, tokenizer_path: str, end_id: int | None = 2, max_tokens: int = 4096, max_segments: int | None = None, max_loss_tokens: int | None = None, loss: Column | None = None) -> DataFrame:
     """Pieces of documents with their ids and their places in sequences.
 
     ``sequence_id`` is unique over all tasks; ``offset`` runs gapless from 0.
-    Of texts every token bears loss; ``Bins`` takes flags for instruction data.
+    ``loss`` (boolean, such as a test of a turn's role): whether a row's tokens bear
+    loss; without it all do. Without limits of their own, segments and loss-bearing
+    tokens are limited by the tokens alone. Limits that close a sequence before it is
+    full leave its length open: the caller pads it.
     """
-    limits = (max_tokens, max_segments, max_loss_tokens or max_tokens)
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(_pack(tokenizer_path, end_id, limits), PIECES)
+    limits = (max_tokens, max_segments or max_tokens, max_loss_tokens or max_tokens)
+    columns, flagged = [F.col("doc_id").cast("long"), F.col("text").cast("string")], loss is not None
+    if flagged:
+        columns.append(loss.cast("boolean").alias("loss"))
+    return docs.select(*columns).mapInArrow(_pack(tokenizer_path, end_id, limits, flagged), PIECES)

@@ -5,6 +5,7 @@ import zlib
 import numpy as np
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from glossarion.llm import grammar_store, packing
@@ -117,3 +118,47 @@ def test_bins_hold_all_limits():
         assert sum(len(i[2]) for i in b) <= 512 and len(b) <= 4 and sum(int(i[4].sum()) for i in b) <= 100
         seen += sum(len(i[2]) for i in b)
     assert seen == total
+
+
+def test_short_documents_fill_sequences(spark):
+    """No number of documents in a sequence closes it early."""
+    df = spark.createDataFrame([(i, "a b") for i in range(5000)], "doc_id long, text string").coalesce(1)
+    got = packing.pack(df, PATH).groupBy("sequence_id").sum("length").collect()
+    full = sorted((r[1] for r in got), reverse=True)
+    assert full[0] == 4096 and all(n == 4096 or n & (n - 1) == 0 for n in full)
+
+
+def test_limits_of_segments_and_loss(spark):
+    """Turns of conversations: answers bear loss. Every limit holds, every id is in one piece."""
+    turns = spark.read.parquet(f"{SF}/conversations.parquet")
+    rows = turns.select(F.xxhash64("conv_id", "turn").alias("doc_id"), "text", "role")
+    pieces = packing.pack(rows, PATH, max_tokens=1024, max_segments=12, max_loss_tokens=300, loss=F.col("role") == "assistant").join(rows.select("doc_id", "role").distinct(), "doc_id").collect()
+    bins, docs = {}, {}
+    for p in pieces:
+        b = bins.setdefault(p.sequence_id, [0, 0, 0])
+        b[0] += p.length
+        b[1] += 1
+        b[2] += p.length * (p.role == "assistant")
+        docs.setdefault(p.doc_id, []).append((p.start, p.length, p.doc_tokens))
+    assert bins and all(n <= 1024 and k <= 12 and x <= 300 for n, k, x in bins.values())
+    for parts in docs.values():
+        assert sum(n for _, n, _ in set(parts)) == parts[0][2]
+    only = packing.pack(rows, PATH, max_tokens=1024, max_loss_tokens=300).groupBy("sequence_id").sum("length").collect()
+    assert max(r[1] for r in only) <= 300
+
+
+def test_documents_by_random_access(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    path = Workspace(spark, "t").path
+    grammar_store.write_token_store(docs, path, PATH)
+    ids = sorted(r.doc_id for r in docs.select("doc_id").collect())[3::17]
+    whole = {r.doc_id: bytes(r.ids) for r in grammar_store.read_token_store(spark, path).collect()}
+    got = {r.doc_id: bytes(r.ids) for r in grammar_store.read_documents(spark, path, [*ids, -5]).collect()}
+    assert got == {i: whole[i] for i in ids}
+
+
+def test_rounds_go_on_until_no_pair_is_frequent():
+    ids = (np.random.default_rng(2).zipf(1.4, 60000) % 2000).astype(np.uint32)
+    _, _, seq = grammar_store.compress(ids)
+    _, n = np.unique(np.stack([seq[:-1], seq[1:]]), axis=1, return_counts=True)
+    assert n.max() < 16
