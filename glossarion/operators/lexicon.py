@@ -254,18 +254,23 @@ def parity(left: DataFrame, right: DataFrame) -> DataFrame:
 
 def checksum(df: DataFrame) -> DataFrame:
     """Row count and an order-independent sum of row hashes."""
-    return df.agg(F.count("*").alias("n"), F.sum(F.xxhash64(*df.columns).cast("decimal(38,0)")).alias("checksum"))
+    return df.agg(F.count("*").alias("n"), F.sum(F.conv(F.substring(F.md5(F.concat_ws("\t", *df.columns)), 1, 8), 16, 10).cast("decimal(38,0)")).alias("checksum"))
 
 
 def sample_by_combination(words: DataFrame, combos: int = 8, each: int = 3, seed: int = 0) -> DataFrame:
     """A few words, by seeded hash, of the largest source combinations."""
     keyed = words.withColumn("combination", F.array_join(F.array_sort("sources"), ","))
     top = keyed.groupBy("combination").count().orderBy(F.desc("count"), "combination").limit(combos).select("combination")
-    w = W.partitionBy("combination").orderBy(F.xxhash64("id", F.lit(seed)), "id")
+    w = W.partitionBy("combination").orderBy(F.md5(F.concat(F.lit(f"{seed}:"), "id")), "id")
     return keyed.join(F.broadcast(top), "combination").withColumn("place", F.row_number().over(w)).where(F.col("place") <= each).select("combination", "place", "id")
 
 
 def missing_keys(wanted: DataFrame, cache: DataFrame, key: str, batch: int = 500) -> DataFrame:
     """Keys the cache lacks, numbered into batches in the order of their digits."""
     miss = wanted.select(key).distinct().join(cache.select(key).distinct(), key, "left_anti").withColumn("__n", F.regexp_extract(key, r"(\d+)", 1).cast("long"))
-    return miss.withColumn("batch", F.floor((F.row_number().over(W.orderBy("__n", key)) - 1) / batch)).drop("__n")
+    # numbered within ranges of numbers, whose totals are summed and joined back
+    miss = miss.withColumn("__r", F.floor(F.col("__n") / 100_000))
+    totals = miss.groupBy("__r").agg(F.count("*").alias("__c"))
+    before = totals.withColumn("__b", F.sum("__c").over(W.orderBy("__r").rowsBetween(W.unboundedPreceding, W.currentRow)) - F.col("__c")).drop("__c")
+    place = F.col("__b") + F.row_number().over(W.partitionBy("__r").orderBy("__n", key)) - 1
+    return miss.join(before, "__r").withColumn("batch", F.floor(place / batch)).drop("__n", "__r", "__b")

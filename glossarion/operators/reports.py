@@ -9,6 +9,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from glossarion import vocab
+from glossarion.functions import lexical
 
 
 def ordinals(entries: DataFrame, order: str = "ord") -> DataFrame:
@@ -162,3 +163,45 @@ def word_of(name: str) -> str:
 def interpolate(template: str, **values: str) -> str:
     """``{name}`` replaced where known; other braces stay."""
     return re.sub(r"\{(\w+)\}", lambda m: str(values.get(m[1], m[0])), template)
+
+
+def sense_summary(words: DataFrame, senses: DataFrame) -> DataFrame:
+    """Words, words without a sense, senses, and senses a word on average."""
+    per = senses.groupBy("id").agg(F.count("*").alias("k"))
+    both = words.select("id").join(per, "id", "left")
+    total = both.agg(F.count("*").alias("n_words"), F.count_if(F.col("k").isNull()).alias("senseless"), F.coalesce(F.sum("k"), F.lit(0)).alias("n_senses"))
+    return total.withColumn("average", F.round(F.try_divide("n_senses", "n_words"), 4))
+
+
+def multi_pos(senses: DataFrame) -> DataFrame:
+    """Words of several parts of speech, and of how many."""
+    return senses.groupBy("id").agg(F.count_distinct("pos").alias("n_pos")).where("n_pos > 1")
+
+
+def regional(senses: DataFrame) -> DataFrame:
+    """Region codes and the words that have them."""
+    codes = senses.select("id", F.explode(lexical.categorize_codes(F.col("codes"))["region"]).alias("code"))
+    return codes.groupBy("code").agg(F.count_distinct("id").alias("n"))
+
+
+def missing_codes(senses: DataFrame, column: str, expected: list[str]) -> DataFrame:
+    """Expected codes that no row has."""
+    want = senses.sparkSession.createDataFrame([(c,) for c in expected], "code string")
+    return want.join(senses.select(F.col(column).alias("code")).distinct(), "code", "left_anti")
+
+
+def selection_coverage(words: DataFrame, selected: list[str]) -> DataFrame:
+    """Of words from any selected source: how many, and the percentage with each kind of metadata."""
+    some = words.where(F.arrays_overlap("sources", F.array(*map(F.lit, selected))))
+    share = lambda c, name: F.round(100.0 * F.count(c) / F.count("*"), 2).alias(name)
+    return some.agg(F.count("*").alias("n_words"), share("nsyll", "syllables"), share("concreteness_rating", "concreteness"), share("frequency_rank", "frequency"), share("spelling_region", "region"))
+
+
+def labelled(senses: DataFrame, codes: list[str]) -> DataFrame:
+    """Words that carry any of the codes."""
+    return senses.where(F.arrays_overlap("codes", F.array(*map(F.lit, codes)))).select("id").distinct()
+
+
+def single_words(words: DataFrame) -> DataFrame:
+    """Normalised words of one word; longer phrases are left out."""
+    return words.where("wc <= 1").select(lexical.normalize_word(F.col("id")).alias("id")).distinct()

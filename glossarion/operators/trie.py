@@ -25,9 +25,16 @@ def has(words: DataFrame, asked: DataFrame) -> DataFrame:
 
 def with_ids(words: DataFrame) -> DataFrame:
     """node_id: the word's place by length, then code points, as an uncompressed level-order trie numbers its words."""
-    per = words.select("id").distinct().withColumn("len", F.length("id"))
-    before = per.groupBy("len").agg(F.count("*").alias("c")).withColumn("b", F.sum("c").over(W.orderBy("len").rowsBetween(W.unboundedPreceding, W.currentRow)) - F.col("c")).drop("c")
-    return per.withColumn("k", F.row_number().over(W.partitionBy("len").orderBy("id")) - 1).join(before, "len").select("id", (F.col("b") + F.col("k")).alias("node_id"))
+    # numbered within a length and the first two letters; the groups' totals are summed and joined back
+    per = words.select("id").distinct().withColumns({"len": F.length("id"), "p": F.substring("id", 1, 2)})
+    totals = per.groupBy("len", "p").agg(F.count("*").alias("c"))
+    before = totals.withColumn("b", F.sum("c").over(W.orderBy("len", "p").rowsBetween(W.unboundedPreceding, W.currentRow)) - F.col("c")).drop("c")
+    return per.withColumn("k", F.row_number().over(W.partitionBy("len", "p").orderBy("id")) - 1).join(before, ["len", "p"]).select("id", (F.col("b") + F.col("k")).alias("node_id"))
+
+
+def words_of_ids(words: DataFrame, asked: DataFrame) -> DataFrame:
+    """The word of each asked node_id; an id that no word has gives no row."""
+    return with_ids(words).join(asked.select("node_id").distinct(), "node_id")
 
 
 def keys_with_prefix(words: DataFrame, prefix: str, limit: int = 100) -> DataFrame:

@@ -43,12 +43,12 @@ def counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def rank_by_count(df: DataFrame, name: str = "rank") -> DataFrame:
     """Rank by descending count, then word, without one task for all words: words are ranked within their
     count, and each count's words come after those of all larger counts, of which there are few kinds."""
-    per = df.groupBy("n").agg(F.count("*").alias("__c"))
+    keyed = df.withColumn("__p", F.substring("id", 1, 2))
+    totals = keyed.groupBy("n", "__p").agg(F.count("*").alias("__k"))
+    per = totals.groupBy("n").agg(F.sum("__k").alias("__c"))
     before = per.withColumn("__b", F.sum("__c").over(W.orderBy(F.desc("n")).rowsBetween(W.unboundedPreceding, W.currentRow)) - F.col("__c")).drop("__c")
     # the many words of a small count are ranked within their first two letters
-    keyed = df.withColumn("__p", F.substring("id", 1, 2))
-    parts = keyed.groupBy("n", "__p").agg(F.count("*").alias("__k"))
-    parts = parts.withColumn("__q", F.sum("__k").over(W.partitionBy("n").orderBy("__p").rowsBetween(W.unboundedPreceding, W.currentRow)) - F.col("__k")).drop("__k")
+    parts = totals.withColumn("__q", F.sum("__k").over(W.partitionBy("n").orderBy("__p").rowsBetween(W.unboundedPreceding, W.currentRow)) - F.col("__k")).drop("__k")
     inner = F.row_number().over(W.partitionBy("n", "__p").orderBy("id"))
     out = keyed.withColumn("__r", inner).join(parts, ["n", "__p"]).join(before, "n")
     return out.withColumn(name, (F.col("__b") + F.col("__q") + F.col("__r")).cast("int")).drop("__b", "__q", "__r", "__p")

@@ -245,7 +245,7 @@ def coverage_anti(spark, sf_dir):
     return lx.coverage_of(d.counts(spark, sf_dir), d.other_sources(spark, sf_dir)["brysbaert"]).where("NOT found").select("id")
 
 
-@register("deplural_match", ", m AS (SELECT id FROM cnt WHERE id LIKE '%s') SELECT id, CASE WHEN left(id, length(id) - 1) IN (SELECT id FROM cnt) THEN left(id, length(id) - 1) WHEN id LIKE '%es' AND left(id, length(id) - 2) IN (SELECT id FROM cnt) THEN left(id, length(id) - 2) ELSE left(id, length(id) - 3) || 'y' END AS base FROM m WHERE left(id, length(id) - 1) IN (SELECT id FROM cnt) OR (id LIKE '%es' AND left(id, length(id) - 2) IN (SELECT id FROM cnt)) OR (id LIKE '%ies' AND left(id, length(id) - 3) || 'y' IN (SELECT id FROM cnt))")
+@register("deplural_match", ", m AS (SELECT id FROM cnt WHERE id LIKE '%s'), c AS (SELECT id, 0 AS k, left(id, length(id) - 1) AS base FROM m UNION ALL SELECT id, 1, left(id, length(id) - 2) FROM m WHERE id LIKE '%es' UNION ALL SELECT id, 2, left(id, length(id) - 3) || 'y' FROM m WHERE id LIKE '%ies') SELECT c.id, arg_min(base, k) AS base FROM c JOIN cnt ON base = cnt.id WHERE base <> '' GROUP BY c.id")
 def deplural_match(spark, sf_dir):
     c = d.counts(spark, sf_dir)
     return lx.missing_plurals(c, c.where(F.col("id").endswith("s")))
@@ -315,10 +315,10 @@ def parity_diff(spark, sf_dir):
     return lx.parity(o["eowl"], o["wordnet"])
 
 
-@register("qid_missing", "SELECT word, CAST(floor((row_number() OVER (ORDER BY n, word) - 1) / 500) AS BIGINT) AS batch FROM (SELECT DISTINCT 'Q' || o_custkey AS word, o_custkey AS n FROM orders WHERE o_orderkey % 2 = 0 AND o_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_orderkey % 7 = 0))", base="")
+@register("qid_missing", "SELECT word, CAST(floor((row_number() OVER (ORDER BY n, word) - 1) / 500) AS BIGINT) AS batch FROM (SELECT DISTINCT 'Q' || c_custkey AS word, c_custkey AS n FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders))", base="")
 def qid_missing(spark, sf_dir):
-    o = d.table(spark, sf_dir, "orders").select("o_orderkey", F.concat(F.lit("Q"), "o_custkey").alias("word"))
-    return lx.missing_keys(o.where("o_orderkey % 2 = 0"), o.where("o_orderkey % 7 = 0"), "word")
+    wanted = d.table(spark, sf_dir, "customer").select(F.concat(F.lit("Q"), "c_custkey").alias("word"))
+    return lx.missing_keys(wanted, d.table(spark, sf_dir, "orders").select(F.concat(F.lit("Q"), "o_custkey").alias("word")), "word")
 
 
 @register("module_export", "SELECT id AS word, nsyll AS value FROM words WHERE nsyll IS NOT NULL")
@@ -328,14 +328,14 @@ def module_export(spark, sf_dir):
     return module_values(d.words(spark, sf_dir), "syllables")
 
 
-@register("sample_by_combo")
+@register("sample_by_combo", ", k AS (SELECT id, array_to_string(sources, ',') AS combination FROM words), t AS (SELECT combination FROM k GROUP BY 1 ORDER BY count(*) DESC, combination LIMIT 8) SELECT combination, CAST(place AS INTEGER) AS place, id FROM (SELECT *, row_number() OVER (PARTITION BY combination ORDER BY md5('0:' || id), id) AS place FROM k WHERE combination IN (SELECT combination FROM t)) WHERE place <= 3")
 def sample_by_combo(spark, sf_dir):
     return lx.sample_by_combination(d.words(spark, sf_dir))
 
 
-@register("output_checksum", "SELECT count(*) AS n FROM words")
+@register("output_checksum", "SELECT count(*) AS n, CAST(sum(CAST('0x' || left(md5(id), 8) AS BIGINT)) AS BIGINT) AS checksum FROM words")
 def output_checksum(spark, sf_dir):
-    return lx.checksum(d.words(spark, sf_dir).select("id")).select("n")
+    return lx.checksum(d.words(spark, sf_dir).select("id")).select("n", F.col("checksum").cast("long").alias("checksum"))
 
 
 @register("page_title_extract", "SELECT page_id, regexp_extract(html, '<title>([^<]*)</title>', 1) AS title FROM pages", base="")
