@@ -11,7 +11,9 @@ counts are aggregated before the shuffle, so a hot host is one row of each task.
 Null url, or none with ``://``: empty host and path, judged by the method as one
 host without a name. A page without a label counts for no rate and is still
 judged. Repeated pages repeat in the result. No labels: everything that no
-rule names is allowed.
+rule names is allowed. An empty table gives no row. A very long url is handled whole.
+Ties: of rules as long the first counts. Only the columns named are read, so no other
+name can clash.
 """
 
 from __future__ import annotations
@@ -21,6 +23,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from glossarion.llm._shared import Workspace
+
 #: Contract of the registered query: (verdict, host, path).
 RULES = (("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"), ("allow", "com", "/fr/"), ("block", "com", "/de/"))
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -55,10 +59,10 @@ def fitting_rule(host: Column, path: Column, rules=RULES) -> tuple[Column, Colum
     return (F.lit(None).cast("string"),) * 2 if name is None else (name, said)
 
 
-def registered(host: Column) -> tuple[Column, Column]:
-    """(registered domain, suffix) of a host."""
+def registered(host: Column, long_suffixes=LONG_SUFFIXES) -> tuple[Column, Column]:
+    """(registered domain, suffix) of a host. ``long_suffixes``: the suffixes of two labels, such as a public list has."""
     two = F.substring_index(host, ".", -2)
-    long = two.isin(*LONG_SUFFIXES)
+    long = two.isin(*long_suffixes)
     return F.when(long, F.substring_index(host, ".", -3)).otherwise(two), F.when(long, two).otherwise(F.substring_index(host, ".", -1))
 
 
@@ -76,9 +80,9 @@ def _strength(groups: DataFrame, bound: Bound) -> float:
     return min(most, max(bound.least_strength, v / spread - 1)) if spread > 0 else most
 
 
-def reputations(outcomes: DataFrame, bound: Bound = Bound()) -> DataFrame:
+def reputations(outcomes: DataFrame, bound: Bound = Bound(), long_suffixes=LONG_SUFFIXES) -> DataFrame:
     """``outcomes``: host, n (labelled pages), bad. Returns host, n, bad, mean, low, verdict."""
-    domain, suffix = registered(F.col("host"))
+    domain, suffix = registered(F.col("host"), long_suffixes)
     hosts = outcomes.withColumn("domain", domain).withColumn("suffix", suffix)
     total = hosts.agg(F.sum("n").alias("n"), F.sum("bad").alias("bad")).first()
     overall = (total.bad + 0.5) / (total.n + 1) if total.n else 0.5
@@ -97,13 +101,15 @@ def reputations(outcomes: DataFrame, bound: Bound = Bound()) -> DataFrame:
     return hosts.select("host", "n", "bad", "mean", "low", F.when(F.col("low") > bound.max_bad, "block").otherwise("allow").alias("verdict"))
 
 
-def judge(pages: DataFrame, labels: DataFrame, rules=RULES, bound: Bound = Bound()) -> DataFrame:
+def judge(pages: DataFrame, labels: DataFrame, rules=RULES, bound: Bound = Bound(), long_suffixes=LONG_SUFFIXES) -> DataFrame:
     """page_id, host, path, rule, verdict and the host's mean and lower bound, for every page."""
     host, path = split_url(F.col("url"))
     at = pages.select("page_id", host.alias("host"), path.alias("path"))
     seen = labels.where("doc_id is not null").groupBy("doc_id").agg(F.max(((F.coalesce("quality", F.lit(1)) == 0) | (F.coalesce("toxic", F.lit(0)) == 1)).cast("long")).alias("bad"))
     known = at.select("page_id", "host").join(seen, F.col("page_id") == F.col("doc_id"), "left")
     outcomes = known.groupBy("host").agg(F.count("bad").alias("n"), F.coalesce(F.sum("bad"), F.lit(0)).alias("bad"))
+    # one row a host, written once: the four levels read it, not pages and labels
+    outcomes = Workspace(pages.sparkSession, "hosts").write(outcomes, "outcomes")
     name, said = fitting_rule(F.col("host"), F.col("path"), rules)
-    rated = reputations(outcomes, bound).select("host", "mean", "low", F.col("verdict").alias("own"))
+    rated = reputations(outcomes, bound, long_suffixes).select("host", "mean", "low", F.col("verdict").alias("own"))
     return at.join(rated, "host", "left").select("page_id", "host", "path", name.alias("rule"), F.coalesce(said, "own").alias("verdict"), "mean", "low")

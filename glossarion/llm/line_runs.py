@@ -10,7 +10,9 @@ A line goes if its key has ``min_chars`` code points, is in two documents at
 least and this is not the smallest of them. Null or empty text: one empty line.
 A null ``doc_id`` counts as the smallest; rows of equal ``doc_id`` are one
 document. Hot lines: keys are aggregated before they are shuffled, and the join
-that brings owners back to documents may split a hot key.
+that brings owners back to documents may split a hot key. An empty table gives no row.
+A very long text is one slice of a batch: its own size bounds memory. A line repeated in
+its smallest document stays there each time.
 """
 
 from __future__ import annotations
@@ -84,23 +86,47 @@ def _without(min_chars: int):
 
 
 class Runs:
-    """The levels of sorted runs, each a bucketed table in the shared folder."""
+    """The levels of sorted runs, each a table bucketed and sorted by hash, below one folder of the shared store.
 
-    def __init__(self, spark: SparkSession, space: Workspace, buckets: int, fanout: int):
-        self.spark, self.space, self.buckets, self.fanout = spark, space, buckets, fanout
+    ``save`` notes the runs in that folder, and ``open`` finds them again in another session, so
+    a later batch meets the lines of all batches before it.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, buckets: int, fanout: int):
+        self.spark, self.path, self.buckets, self.fanout = spark, path.rstrip("/"), buckets, fanout
         self.levels: list[list[str]] = []
 
+    @classmethod
+    def open(cls, spark: SparkSession, path: str, buckets: int, fanout: int = 3) -> Runs:
+        """The runs saved below ``path``; none yet: no runs. Saved runs keep their number of buckets."""
+        noted = spark._jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/levels")
+        if not noted.getFileSystem(spark._jsc.hadoopConfiguration()).exists(noted):
+            return cls(spark, path, buckets, fanout)
+        rows = spark.read.schema("level int, place int, name string, buckets int").parquet(f"{path.rstrip('/')}/levels").orderBy("level", "place").collect()
+        out = cls(spark, path, rows[0].buckets if rows else buckets, fanout)
+        out.levels = [[r.name for r in rows if r.level == k] for k in range(1 + max((r.level for r in rows), default=-1))]
+        for r in rows:
+            spark.sql(f"CREATE TABLE IF NOT EXISTS {r.name} (k1 BIGINT, k2 BIGINT, owner BIGINT) USING parquet CLUSTERED BY (k1, k2) SORTED BY (k1, k2) INTO {r.buckets} BUCKETS LOCATION '{out.path}/{r.name}'")
+        return out
+
+    def save(self) -> None:
+        rows = [(level, place, name, self.buckets) for level, names in enumerate(self.levels) for place, name in enumerate(names)]
+        self.spark.createDataFrame(rows, "level int, place int, name string, buckets int").coalesce(1).write.mode("overwrite").parquet(f"{self.path}/levels")
+
     def _write(self, rows: DataFrame) -> str:
         name = f"line_run_{uuid.uuid4().hex}"
-        rows.repartition(self.buckets, *KEY).write.bucketBy(self.buckets, *KEY).sortBy(*KEY).option("path", f"{self.space.path}/{name}").format("parquet").saveAsTable(name)
+        rows.repartition(self.buckets, *KEY).write.bucketBy(self.buckets, *KEY).sortBy(*KEY).option("path", f"{self.path}/{name}").format("parquet").saveAsTable(name)
         return name
 
-    def all(self) -> DataFrame | None:
-        tables = [self.spark.table(t) for level in self.levels for t in level]
-        out = None
-        for t in tables:
-            out = t if out is None else out.unionByName(t)
-        return out
+    def merge(self, owners: DataFrame) -> DataFrame:
+        """``owners`` with ``before``, the owner that a run has for the hash. Runs share no hash; each is read in its
+        buckets as it lies, so only ``owners`` is shuffled, once for all runs."""
+        names = [t for level in self.levels for t in level]
+        out = owners.repartition(self.buckets, *KEY) if names else owners
+        for k, t in enumerate(names):
+            out = out.join(self.spark.table(t).select(*KEY, F.col("owner").alias(f"before{k}")).hint("merge"), list(KEY), "left")
+        before = F.coalesce(*(f"before{k}" for k in range(len(names)))) if names else F.lit(None).cast("long")
+        return out.select(*owners.columns, before.alias("before"))
 
     def add(self, rows: DataFrame) -> None:
         """A new run of level 0; compacts full levels. Runs share no hash, so a merge only sorts."""
@@ -122,10 +148,12 @@ class Runs:
     def forget(self, tables: list[str]) -> None:
         for t in tables:
             self.spark.sql(f"DROP TABLE IF EXISTS {t}")
-            self.space.drop(t)
+            path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{t}")
+            path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
 
     def close(self) -> None:
         self.forget([t for level in self.levels for t in level])
+        self.levels = []
 
 
 def batches_of(docs: DataFrame, n: int) -> list[tuple[int | None, int | None]]:
@@ -135,17 +163,20 @@ def batches_of(docs: DataFrame, n: int) -> list[tuple[int | None, int | None]]:
     return list(zip([None, *cuts], [*cuts, None], strict=True))
 
 
-def dedup_lines(docs: DataFrame, min_chars: int = 10, batches: int = 4, fanout: int = 3, buckets: int | None = None, prefix: str = "") -> DataFrame:
+def dedup_lines(docs: DataFrame, min_chars: int = 10, batches: int = 4, fanout: int = 3, buckets: int | None = None, prefix: str = "", store: str | None = None) -> DataFrame:
     """``docs`` with the lines dropped from ``text``, and n_lines and n_dropped (long).
 
     ``prefix`` goes before the names of the two counts; a column of ``docs`` of such a
-    full name is replaced, all others pass through under any name.
+    full name is replaced, all others pass through under any name. ``store``: a folder all
+    executors share, in which the runs stay: lines of earlier calls go as well, whatever the ids,
+    and the lines of this call are added. Without it the runs last for the call.
     """
     spark = docs.sparkSession
     space = Workspace(spark, "line-runs")
     counts, columns = (f"{prefix}n_lines", f"{prefix}n_dropped"), docs.columns
     docs, back = carried(docs, counts)
-    runs = Runs(spark, space, buckets or int(spark.conf.get("spark.sql.shuffle.partitions")), fanout)
+    n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    runs = Runs.open(spark, store, n, fanout) if store else Runs(spark, space.path, n, fanout)
     pairs_of = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(FIRST)).alias("doc"), F.col("text").cast("string"))
     lost, written = None, []
     for k, (low, high) in enumerate(batches_of(docs, batches)):
@@ -156,19 +187,18 @@ def dedup_lines(docs: DataFrame, min_chars: int = 10, batches: int = 4, fanout:
             part = part.where(F.col("doc") < high)
         pairs = space.write(part.mapInArrow(_keys(min_chars), "k1 long, k2 long, doc long"), f"pairs{k}")
         owners = pairs.groupBy(*KEY).agg(F.min("doc").alias("owner"), F.max("doc").alias("last"))
-        seen = runs.all()
-        if seen is not None:
-            merged = owners.join(seen.select(*KEY, F.col("owner").alias("before")).hint("merge"), list(KEY), "left")
-        else:
-            merged = owners.withColumn("before", F.lit(None).cast("long"))
+        merged = runs.merge(owners)
         merged = space.write(merged, f"merged{k}")
         runs.add(merged.where("before is null").select(*KEY, "owner"))
-        shared = merged.where("before is not null or owner < last").select(*KEY, F.coalesce("before", "owner").alias("owner"))
-        gone = pairs.join(shared.hint("merge"), list(KEY)).where("doc <> owner").select("doc", *KEY)
+        shared = merged.where("before is not null or owner < last").select(*KEY, F.coalesce("before", "owner").alias("owner"), (F.col("before").isNotNull()).alias("known"))
+        gone = pairs.join(shared.hint("merge"), list(KEY)).where("doc <> owner or known").select("doc", *KEY)
         lost = gone if lost is None else lost.unionByName(gone)
         written += [f"pairs{k}", f"merged{k}"]
     by_doc = space.write(lost.groupBy("doc").agg(F.collect_list(F.struct(*KEY)).alias("lost")), "lost")
-    runs.close()
+    if store:
+        runs.save()
+    else:
+        runs.close()
     space.drop(*written) if written else None
     joined = docs.withColumn("doc", F.coalesce(F.col("doc_id").cast("long"), F.lit(FIRST))).join(by_doc, "doc", "left").drop("doc")
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields if f.name != "text") + ", text string, n_lines long, n_dropped long"

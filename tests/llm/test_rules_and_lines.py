@@ -119,3 +119,22 @@ def test_lines(spark, batches):
     assert sorted(got, key=str) == brute_lines(rows)
     if batches == 1:
         assert line_runs.dedup_lines(df.limit(0)).count() == 0
+
+
+def test_runs_outlive_a_call_and_are_not_shuffled(spark):
+    from glossarion.llm._shared import Workspace
+
+    store = Workspace(spark, "t").path
+    frame = lambda rows: spark.createDataFrame(rows, "doc_id long, text string")
+    line = lambda k: f"a line of some length {k}"
+    first = [(i, "\n".join(line(k) for k in range(i, i + 3))) for i in range(0, 20, 2)]
+    got = {r.doc_id: r.n_dropped for r in line_runs.dedup_lines(frame(first), batches=3, fanout=2, store=store).collect()}
+    assert got == {i: int(i > 0) for i, _ in first}
+    second = [(1, f"{line(4)}\nnew words in this line\n{line(900)}"), (100, f"{line(900)}\n{line(20)}\nshort")]
+    got = {r.doc_id: r.n_dropped for r in line_runs.dedup_lines(frame(second), batches=1, store=store).collect()}
+    assert got == {1: 1, 100: 2}
+    runs = line_runs.Runs.open(spark, store, 4)
+    assert sum(map(len, runs.levels)) >= 2
+    owners = spark.createDataFrame([(1, 2, 3, 3)], "k1 long, k2 long, owner long, last long")
+    plan = runs.merge(owners)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1, plan
