@@ -11,7 +11,7 @@ from glossarion import vocab
 from glossarion.functions import lexical
 from glossarion.operators import lexicon as lx
 from glossarion.operators import predicates as pr
-from glossarion.operators import reports, trie
+from glossarion.operators import lookups, reports, trie
 from glossarion.plans import derived as d
 from glossarion.plans import spec
 from glossarion.plans.queries import _FIRST, _SENSES, ORACLES, QUERIES, WITH, register, wordlist  # noqa: F401  the two tables are filled here too
@@ -370,3 +370,27 @@ def trie_children(spark, sf_dir):
 def trie_longest_prefix(spark, sf_dir):
     asked = d.other_sources(spark, sf_dir)["eowl"].select(F.col("id").alias("text"))
     return trie.longest_prefix(d.counts(spark, sf_dir), asked)
+
+
+# --- synsets: the words of a part's name stand for lemmas, the part for their synset --------------
+
+_EDGES = "WITH edges AS (SELECT DISTINCT unnest(regexp_extract_all(p_name, '[A-Za-z]+')) AS lemma, p_partkey AS synset, p_brand AS pos FROM part)"
+
+
+def _edges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p = d.table(spark, sf_dir, "part")
+    return p.select(F.explode(F.regexp_extract_all("p_name", F.lit("([A-Za-z]+)"), 1)).alias("lemma"), F.col("p_partkey").alias("synset"), F.col("p_brand").alias("pos"))
+
+
+@register("synsets_of_words", f", asked AS (SELECT DISTINCT unnest(regexp_extract_all(text, '[A-Za-z]+')) AS id FROM conversations UNION SELECT DISTINCT upper(lemma) FROM edges) SELECT DISTINCT id, synset, pos FROM asked JOIN edges ON lower(id) = lower(lemma)", base=_EDGES)
+def synsets_of_words(spark, sf_dir):
+    text = d.table(spark, sf_dir, "conversations").select(F.explode(F.regexp_extract_all("text", F.lit("([A-Za-z]+)"), 1)).alias("id"))
+    e = _edges(spark, sf_dir)
+    return lookups.synsets_of(e, text.unionByName(e.select(F.upper("lemma").alias("id"))))
+
+
+@register("synset_members", "SELECT synset, p_type AS lexname, string_agg(DISTINCT lemma, ',' ORDER BY lemma) AS lemmas FROM edges JOIN part ON p_partkey = synset WHERE synset IN (SELECT o_custkey FROM orders) GROUP BY 1, 2", base=_EDGES)
+def synset_members(spark, sf_dir):
+    names = d.table(spark, sf_dir, "part").select(F.col("p_partkey").alias("synset"), F.col("p_type").alias("lexname"))
+    asked = d.table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("synset"))
+    return lookups.members_of(_edges(spark, sf_dir), names, asked).select("synset", "lexname", F.array_join("lemmas", ",").alias("lemmas"))
