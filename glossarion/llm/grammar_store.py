@@ -41,26 +41,30 @@ def compress(ids: np.ndarray, per_round: int = 4096, least: int = 16) -> tuple[i
 
     A round puts pairs into hash slots, counts the last pair of each frequent slot, and replaces the
     ``per_round`` most frequent. Another round has another hash; if none of its slots shows a
-    frequent pair though some are full, pairs in full slots are sorted and counted.
+    frequent pair though some are full, pairs in full slots are sorted and counted. A pair of
+    symbols that are there already can only become rarer, so after the first round only pairs that
+    were frequent, and those of a symbol just made, are looked at.
     """
     seq = ids.astype(np.uint32)
     first = int(seq.max()) + 1 if len(seq) else 0
     rules: list[np.ndarray] = []
     top, turn, held = first, 0, np.zeros(1 << SLOTS, np.uint64)
     place_of = np.full(1 << SLOTS, -1, np.int32)
-    while len(seq) > 1:
+    at = np.arange(max(0, len(seq) - 1))
+    while len(at):
         turn += 1
         # 32-bit arithmetic and few passes: a block's arrays are larger than the processor's cache
-        slot = seq[:-1] * np.uint32(0x9E3779B1 + 2 * turn) + seq[1:] * np.uint32(0x85EBCA6B)
+        left, right = seq[at], seq[at + 1]
+        slot = left * np.uint32(0x9E3779B1 + 2 * turn) + right * np.uint32(0x85EBCA6B)
         slot ^= slot >> np.uint32(15)
         slot *= np.uint32(0x2C1B3C6D)
         slot >>= np.uint32(32 - SLOTS)
         slot = slot.view(np.int32)
-        at = np.flatnonzero((np.bincount(slot, minlength=1 << SLOTS) >= least)[slot])
-        if not len(at):
+        full = np.flatnonzero((np.bincount(slot, minlength=1 << SLOTS) >= least)[slot])
+        if not len(full):
             break
-        slot = slot[at]
-        pair = (seq[at].astype(np.uint64) << np.uint64(32)) | seq[at + 1]
+        at, slot = at[full], slot[full]
+        pair = (left[full].astype(np.uint64) << np.uint64(32)) | right[full]
         held[slot] = pair
         mine = held[slot] == pair
         counts = np.bincount(slot[mine], minlength=1 << SLOTS)
@@ -79,15 +83,22 @@ def compress(ids: np.ndarray, per_round: int = 4096, least: int = 16) -> tuple[i
                 break
             place = np.minimum(np.searchsorted(chosen, pair), len(chosen) - 1)
             place[chosen[place] != pair] = -1
+        look = np.zeros(len(seq), bool)
+        look[at] = True
         at, place = at[place >= 0], place[place >= 0]
         run = np.concatenate([[True], np.diff(at) > 1])
         begin = at[run][np.cumsum(run) - 1]
         keep = (at - begin) % 2 == 0
         at, place = at[keep], place[keep]
         seq[at] = top + place
-        left = np.ones(len(seq), bool)
-        left[at + 1] = False
-        seq = seq[left]
+        look[at] = True
+        look[at[at > 0] - 1] = True
+        stays = np.ones(len(seq), bool)
+        stays[at + 1] = False
+        # a symbol before one just made may stand two places before it
+        look[at[at > 1] - 2] |= ~stays[at[at > 1] - 1]
+        seq, look = seq[stays], look[stays]
+        at = np.flatnonzero(look[:-1])
         rules.append(np.stack([chosen >> np.uint64(32), chosen & np.uint64(0xFFFFFFFF)], 1).astype(np.uint32))
         top += len(chosen)
     return first, np.concatenate(rules) if rules else np.zeros((0, 2), np.uint32), seq
