@@ -92,3 +92,76 @@ def test_near_copies_on_both_sides_of_a_level_switch():
 def test_sets_keep_64_hashes():
     (s,) = pf.sketches([" ".join(map(str, range(5000)))])
     assert len(s) == 64
+
+
+def plain_phrases(text):
+    """Locally consistent parsing of one text, place by place: [(name, code points covered)] of every level."""
+    u64 = (1 << 64) - 1
+
+    def mix(x):
+        return int(pf.mix(np.array([x & u64], np.uint64))[0])
+
+    level, out = [(mix(ord(c) + 1), c) for c in text], []
+    while level:
+        runs = []
+        for name, part in level:
+            if runs and runs[-1][0] == name:
+                runs[-1][1].append(part)
+            else:
+                runs.append((name, [part]))
+        x = [(mix(n + len(p) * 0x9E3779B97F4A7C15) if len(p) > 1 else n, "".join(p)) for n, p in runs]
+        label = [n for n, _ in x]
+        for _ in range(4):
+            new = []
+            for i, v in enumerate(label):
+                differ = 1 if i == 0 else v ^ label[i - 1]
+                low = (differ & -differ).bit_length() - 1
+                new.append(2 * low + (v >> low & 1))
+            label = new
+        cut = [i for i in range(len(x)) if i == 0 or label[i] > label[i - 1] and label[i] >= (label[i + 1] if i + 1 < len(x) else 127)]
+        level = []
+        for a, b in zip(cut, [*cut[1:], len(x)]):
+            total = sum(mix(n + k * 0x9E3779B97F4A7C15) for k, (n, _) in enumerate(x[a:b]))
+            level.append((mix(total + b - a), "".join(p for _, p in x[a:b])))
+        out.append(level)
+        if len(level) == 1:
+            return out
+    return out
+
+
+def test_phrases_by_plain_parsing():
+    rng = random.Random(11)
+    texts = ["a", "aaaa", "abab" * 30, "".join(rng.choice("ab") for _ in range(300)), " ".join(rng.choice(["lorem", "ipsum", "dolor", "sit"]) for _ in range(120)), "été Σίσυφος 日本語 " * 9]
+    for t, levels in zip(texts, pf.phrases(texts)):
+        want = plain_phrases(t)
+        assert [x.tolist() for x in levels] == [[n for n, _ in level] for level in want]
+        assert all("".join(p for _, p in level) == t for level in want)
+        # equal names stand for equal substrings
+        of = {}
+        assert all(of.setdefault((k, n), p) == p for k, level in enumerate(want) for n, p in level)
+
+
+def test_query_by_plain_parsing(spark):
+    """Fingerprints and likeness of whole documents from plain parsing."""
+    def sketch(text):
+        levels = plain_phrases(text)
+        names = {n for level in levels[min(1, len(levels) - 1) :] for n, _ in level} if levels else set()
+        return sorted({int(pf.mix(np.array([n], np.uint64))[0]) >> 32 for n in names})[:64]
+
+    def like(a, b):
+        if not a or not b:
+            return float(len(a) == len(b))
+        least = sorted({*a, *b})
+        if max(len(a), len(b)) == 64:
+            least = least[:64]
+        return len([x for x in least if x in a and x in b]) / len(least)
+
+    rows = [(r.doc_id, r.text or "") for r in spark.read.parquet(f"{SF}/documents.parquet").orderBy("doc_id").limit(40).collect()]
+    rows = [(i, t[:400]) for i, t in rows] + [(10**6, ""), (10**6 + 1, "x")]
+    got = {r.doc_id: r for r in pf.fingerprints(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    for k, (i, t) in enumerate(rows):
+        after = rows[(k + 1) % len(rows)][1]
+        changed = pf.edited(t, after)
+        a, b, c = sketch(t), sketch(changed), sketch(after)
+        assert pf.decoded(got[i].fingerprint).tolist() == a and pf.decoded(got[i].edited_fingerprint).tolist() == b
+        assert abs(got[i].near_edited - like(a, b)) < 1e-12 and abs(got[i].near_next - like(a, c)) < 1e-12

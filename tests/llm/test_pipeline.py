@@ -73,3 +73,15 @@ def test_stages_keep_columns_and_odd_rows(spark):
             out = stage(spark, some, SF)
             assert out.columns == docs.columns, name
             out.count()
+
+
+def test_columns_with_the_operators_names_keep_their_values(spark):
+    rng = random.Random(2)
+    names = ["doc", "th", "items", "found", "kept", "removed", "n_lines", "n_dropped", "lost", "n_words", "rule", "comp", "sn", "k1"]
+    rows = [(i, " ".join(f"w{rng.randrange(900)}" for _ in range(90)) + f"\nline number {i % 3} of a few words", 1, *(f"{n}-{i}" for n in names)) for i in range(25)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, n_chars long, " + ", ".join(f"{n} string" for n in names))
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, SF)
+        assert out.columns == docs.columns, name
+        got = out.collect()
+        assert len(got) > 5 and all(r[n] == f"{n}-{r.doc_id}" for r in got for n in names), name

@@ -138,3 +138,23 @@ def test_runs_outlive_a_call_and_are_not_shuffled(spark):
     owners = spark.createDataFrame([(1, 2, 3, 3)], "k1 long, k2 long, owner long, last long")
     plan = runs.merge(owners)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") == 1, plan
+
+
+def test_verdicts_by_plain_rules(spark):
+    """The learned conditions, applied one after another in plain Python to counts by brute force."""
+    docs, labels = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "labels"))
+    rules = decision_list.fit(docs, labels).rules
+    assert rules
+    got = {r.doc_id: (r.rule, r.kept) for r in op8_decision_list(spark, SF).collect()}
+    for d in docs.collect():
+        text = d.text or ""
+        w = WORD.findall(text)
+        n_words, chars, symbols, dup, rep, failed = brute(text)
+        ratio = lambda x: x / n_words if n_words else None
+        value = {"n_words": float(n_words), "word_length": ratio(chars), "symbols": ratio(symbols), "dup_lines": ratio(dup), "repeats": ratio(rep), "distinct": ratio(len(set(w))), "shouts": ratio(text.count("!")), "capitals": ratio(len(re.findall("[A-Z]", text)))}
+        first = None
+        for k, rule in enumerate(rules, 1):
+            if all(value[c.feature] is not None and (value[c.feature] > c.threshold if c.above else value[c.feature] <= c.threshold) for c in rule):
+                first = k
+                break
+        assert got[d.doc_id] == (first, not failed and first is None), d.doc_id
