@@ -9,16 +9,9 @@ from pyspark.sql import functions as F
 from glossarion import vocab
 from glossarion.functions import lexical
 
-#: Small rating tables are broadcast up to this many rows, a checked size; larger ones are joined by shuffle.
-BROADCAST_ROWS = 1_000_000
 PROJECTION = ("pos", "register_tags", "temporal_tags", "domain_tags", "region_tags", "is_abbreviation", "is_inflected", "lemma", "codes")
 
 
-def small(df: DataFrame) -> DataFrame:
-    """``df`` with a broadcast hint if its counted rows stay below the bound."""
-    return F.broadcast(df) if df.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else df
-
-
 # --- senses and lexemes ------------------------------------------------------
 
 
@@ -105,7 +98,7 @@ def add_frequency(words: DataFrame, ranks: DataFrame) -> DataFrame:
     keyed = words.withColumn("__k", F.lower("id"))
     lows = words.where(lexical.is_lower_word(F.col("id"))).select(F.col("id").alias("__k")).distinct().withColumn("__low", F.lit(True))
     r = ranks.select(F.col("word").alias("__k"), F.col("rank").alias("frequency_rank"))
-    out = keyed.join(small(r), "__k", "left").join(lows, "__k", "left")
+    out = keyed.join(r, "__k", "left").join(lows, "__k", "left")
     own = F.when((F.col("id") == F.col("__k")) | F.col("__low").isNull(), F.col("frequency_rank"))
     return out.withColumn("frequency_rank", own).withColumn("frequency_tier", lexical.rank_to_tier(F.col("frequency_rank"))).drop("__k", "__low")
 
@@ -113,7 +106,7 @@ def add_frequency(words: DataFrame, ranks: DataFrame) -> DataFrame:
 def add_concreteness(words: DataFrame, ratings: DataFrame, prefer: bool = True) -> DataFrame:
     """concreteness, its rating and deviation by lower-case word; ``prefer``: over values already there, else only where none is."""
     r = ratings.select(F.col("word").alias("__k"), F.round("mean", 2).alias("__m"), F.round("sd", 2).alias("__s"))
-    out = words.withColumn("__k", F.lower("id")).join(small(r), "__k", "left")
+    out = words.withColumn("__k", F.lower("id")).join(r, "__k", "left")
     for name, new in (("concreteness_rating", F.col("__m")), ("concreteness_sd", F.col("__s")), ("concreteness", lexical.concreteness_category(F.col("__m")))):
         old = F.col(name) if name in words.columns else F.lit(None)
         out = out.withColumn(name, F.coalesce(new, old) if prefer else F.coalesce(old, new))
@@ -123,7 +116,7 @@ def add_concreteness(words: DataFrame, ratings: DataFrame, prefer: bool = True)
 def add_aoa(words: DataFrame, ratings: DataFrame, least_known: float = 0.5) -> DataFrame:
     """aoa and aoa_grade; ratings known to fewer than ``least_known`` are left out before the join."""
     r = ratings.where(F.coalesce("known", F.lit(0.0)) >= least_known).select(F.col("word").alias("__k"), F.round("mean", 2).alias("aoa"))
-    return words.withColumn("__k", F.lower("id")).join(small(r), "__k", "left").withColumn("aoa_grade", lexical.aoa_grade(F.col("aoa"))).drop("__k")
+    return words.withColumn("__k", F.lower("id")).join(r, "__k", "left").withColumn("aoa_grade", lexical.aoa_grade(F.col("aoa"))).drop("__k")
 
 
 # --- statistics --------------------------------------------------------------

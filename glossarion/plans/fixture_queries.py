@@ -1,4 +1,5 @@
-"""Queries over small inline rows, for operators whose inputs the driver's tables do not hold; the SQL states the expected rows."""
+"""Queries of the dump scan over a dump made of whole tables: a page for each document, whose parts follow from the
+document's id and language, so that SQL can state the result."""
 
 from __future__ import annotations
 
@@ -7,126 +8,147 @@ from pyspark.sql import functions as F
 
 from glossarion.functions import lexical
 from glossarion.operators import lexicon as lx
-from glossarion.operators import scan, trie
+from glossarion.operators import scan
+from glossarion.plans import derived as d
 
 QUERIES, ORACLES = {}, {}
 
-WIKITEXT = """<title>happiness</title><ns>0</ns><text>==English==
-===Etymology===
-{{suffix|en|happy|ness}}
-===Pronunciation===
-* {{IPA|en|/ˈhæpinəs/}}
-===Noun===
-{{en-noun}}
-# {{lb|en|chiefly|informal}} The state of being [[happy]].
-# {{plural of|en|happy}}
-====Synonyms====
-* joy
-</text>"""
-PAGES = [WIKITEXT, "<title>Talk:x</title><ns>1</ns><text>==English==\n</text>", '<title>y</title><redirect title="z"/>', "<title>mot</title><ns>0</ns><text>==French==\n</text>", "<title>no</title>", "<ns>0</ns>"]
-
-
-def register(name: str, columns: str, *rows: str):
+#: Section header, head template and code of a part of speech, by id modulo 4; label and code by id modulo 3.
+KINDS = (("Noun", "en-noun", "NOU"), ("Verb", "en-verb", "VRB"), ("Adjective", "en-adj", "ADJ"), ("Adverb", "en-adv", "ADV"))
+LABELS = (("chiefly|informal", "RINF"), ("slang", "RSLG"), ("archaic", "TARC"))
+TITLE = "'t' || translate(CAST(doc_id AS VARCHAR), '0123456789', 'abcdefghij')"
+
+
+def register(name: str, sql: str):
     def put(f):
-        QUERIES[name] = lambda spark, sf_dir: f(spark)
-        ORACLES[name] = f"SELECT * FROM (VALUES {', '.join(rows)}) AS t({columns})"
+        QUERIES[name], ORACLES[name] = f, sql
         return f
 
     return put
 
 
-def _pages(spark: SparkSession) -> DataFrame:
-    return scan.parse_pages(spark.createDataFrame([(x,) for x in PAGES], "xml string"))
+def _by(column: str, values, n: int):
+    out = F.when(F.col(column) % n == 0, values[0])
+    for k, v in enumerate(values[1:], 1):
+        out = out.when(F.col(column) % n == k, v)
+    return out
 
 
-def _words(spark: SparkSession, *words: str) -> DataFrame:
-    return spark.createDataFrame([(w,) for w in words], "id string")
+def _case(column: str, values, n: int) -> str:
+    return f"CASE {column} % {n} " + " ".join(f"WHEN {k} THEN '{v}'" for k, v in enumerate(values)) + " END"
 
 
-@register("page_status", "status, n", "('ok', 1)", "('special', 1)", "('redirect', 1)", "('non_english', 1)", "('no_content', 2)")
-def page_status(spark):
-    return scan.status_counts(_pages(spark))
+def dump(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """xml: of five documents one is a talk page, one a redirect, one has no English, two are entries."""
+    docs = d.table(spark, sf_dir, "documents").select("doc_id")
+    title = F.concat(F.lit("t"), F.translate(F.col("doc_id").cast("string"), "0123456789", "abcdefghij"))
+    header, template = (_by("doc_id", [k[i] for k in KINDS], 4) for i in (0, 1))
+    entry = F.concat(
+        F.lit("==English==\n===Etymology===\n{{suffix|en|"), title, F.lit("|ness}}\n===Pronunciation===\n* {{IPA|en|/ˈhæpinəs/}}\n==="), header, F.lit("===\n{{"), template,
+        F.lit("}}\n# {{lb|en|"), _by("doc_id", [x for x, _ in LABELS], 3), F.lit("}} The state of being [[happy]].\n# {{plural of|en|happy}}\n====Synonyms====\n* joy\n"),
+    )
+    text = F.when(F.col("doc_id") % 5 == 2, F.lit("==French==\n")).otherwise(entry)
+    page = lambda ns, body: F.concat(F.lit("<title>"), title, F.lit(f"</title><ns>{ns}</ns>"), body)
+    full = F.concat(F.lit("<text>"), text, F.lit("</text>"))
+    xml = F.when(F.col("doc_id") % 5 == 0, page(1, full)).when(F.col("doc_id") % 5 == 1, page(0, F.lit('<redirect title="z"/>'))).otherwise(page(0, full))
+    return docs.select(xml.alias("xml"))
 
 
-@register("scan_entries", "id, pos, nsyll, code, lemma, morph", "('happiness', 'NOU', 3, 'RINF', NULL, 'happy,-ness')", "('happiness', 'NOU', 3, 'INFL', 'happy', 'happy,-ness')")
-def scan_entries(spark):
-    return scan.scan_entries(_pages(spark)).select("id", "pos", "nsyll", F.array_join("codes", ",").alias("code"), "lemma", F.array_join("morphology.components", ",").alias("morph"))
+def _pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan.parse_pages(dump(spark, sf_dir))
 
 
-@register("section_headers", "level, header", "(2, 'english')", "(3, 'etymology')", "(3, 'pronunciation')", "(3, 'noun')", "(4, 'synonyms')")
-def section_headers(spark):
-    return scan.headers(_pages(spark).where("status = 'ok'")).select("level", "header")
+@register("page_status", "SELECT CASE doc_id % 5 WHEN 0 THEN 'special' WHEN 1 THEN 'redirect' WHEN 2 THEN 'non_english' ELSE 'ok' END AS status, count(*) AS n FROM documents GROUP BY 1")
+def page_status(spark, sf_dir):
+    return scan.status_counts(_pages(spark, sf_dir))
 
 
-@register("ignored_headers", "header, ignored", "('etymology 2', true)", "('noun', false)", "('synonyms', true)", "('etymology x', false)")
-def ignored_headers(spark):
-    return _words(spark, "etymology 2", "noun", "synonyms", "etymology x").select(F.col("id").alias("header"), scan.is_ignored_header(F.col("id")).alias("ignored"))
+@register("scan_entries", f"""WITH e AS (SELECT doc_id, {TITLE} AS id, {_case('doc_id', [k[2] for k in KINDS], 4)} AS pos FROM documents WHERE doc_id % 5 >= 3)
+SELECT id, pos, 3 AS nsyll, {_case('doc_id', [c for _, c in LABELS], 3)} AS code, NULL AS lemma, id || ',-ness' AS morph FROM e UNION ALL SELECT id, pos, 3, 'INFL', 'happy', id || ',-ness' FROM e""")
+def scan_entries(spark, sf_dir):
+    return scan.scan_entries(_pages(spark, sf_dir)).select("id", "pos", "nsyll", F.array_join("codes", ",").alias("code"), "lemma", F.array_join("morphology.components", ",").alias("morph"))
 
 
-@register("block_containment", "page, start, block", "(1, 5, 10)", "(1, 10, 10)", "(1, 20, 10)", "(1, 30, 30)", "(1, 40, 30)", "(2, 7, NULL)")
-def block_containment(spark):
-    rows = [(1, 5, "noun"), (1, 10, "etymology 1"), (1, 20, "noun"), (1, 30, "etymology 2"), (1, 40, "verb"), (2, 7, "noun")]
-    return scan.block_of_section(spark.createDataFrame(rows, "page int, start int, header string")).select("page", "start", "block")
+@register("section_headers", f"""WITH e AS (SELECT lower({_case('doc_id', [k[0] for k in KINDS], 4)}) AS header FROM documents WHERE doc_id % 5 >= 3)
+SELECT level, header, count(*) AS n FROM (SELECT 2 AS level, 'english' AS header FROM e UNION ALL SELECT 3, 'etymology' FROM e UNION ALL SELECT 3, 'pronunciation' FROM e UNION ALL SELECT 3, header FROM e UNION ALL SELECT 4, 'synonyms' FROM e) GROUP BY 1, 2""")
+def section_headers(spark, sf_dir):
+    return scan.headers(_pages(spark, sf_dir).where("status = 'ok'")).groupBy("level", "header").agg(F.count("*").alias("n"))
 
 
-@register("label_to_code", "id, codes", "(1, 'ENUS,RINF')", "(2, 'DMATH')", "(3, '')")
-def label_to_code(spark):
-    rows = [(1, ["chiefly", "U.S.", "colloquial"]), (2, ["Algebra"]), (3, ["nothing"])]
-    return spark.createDataFrame(rows, "id int, labels array<string>").select("id", F.array_join(scan.label_codes(F.col("labels")), ",").alias("codes"))
+@register("ignored_headers", "SELECT CASE doc_id % 4 WHEN 0 THEN 'etymology ' || doc_id WHEN 1 THEN 'noun' WHEN 2 THEN 'synonyms' ELSE 'etymology x' END AS header, doc_id % 2 = 0 AS ignored, count(*) AS n FROM documents GROUP BY 1, 2")
+def ignored_headers(spark, sf_dir):
+    header = F.when(F.col("doc_id") % 4 == 0, F.concat(F.lit("etymology "), "doc_id")).when(F.col("doc_id") % 4 == 1, "noun").when(F.col("doc_id") % 4 == 2, "synonyms").otherwise("etymology x")
+    rows = d.table(spark, sf_dir, "documents").select(header.alias("header"))
+    return rows.groupBy("header", scan.is_ignored_header(F.col("header")).alias("ignored")).agg(F.count("*").alias("n"))
 
 
-@register("category_substring", "id, codes", "(1, 'RSLG')", "(2, 'DCHEM,DORGC')")
-def category_substring(spark):
-    rows = [(1, ["English slang"]), (2, ["en:Organic chemistry"])]
-    return spark.createDataFrame(rows, "id int, c array<string>").select("id", F.array_join(scan.category_codes(F.col("c")), ",").alias("codes"))
+@register("block_containment", "SELECT page, start, coalesce(max(CASE WHEN start % 3 = 0 THEN start END) OVER (PARTITION BY page ORDER BY start), min(CASE WHEN start % 3 = 0 THEN start END) OVER (PARTITION BY page)) AS block FROM (SELECT o_custkey AS page, o_orderkey AS start FROM orders)")
+def block_containment(spark, sf_dir):
+    o = d.table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("page"), F.col("o_orderkey").alias("start"))
+    return scan.block_of_section(o.withColumn("header", F.when(F.col("start") % 3 == 0, "etymology 1").otherwise("noun"))).select("page", "start", "block")
 
 
-@register("syllable_sources_disagree", "id, differs", "(1, true)", "(2, false)", "(3, false)")
-def syllable_sources_disagree(spark):
-    rows = [(1, 2, 3, None), (2, 2, 2, 2), (3, None, None, None)]
-    return scan.syllable_disagreement(spark.createDataFrame(rows, "id int, ipa int, hyph int, rhymes int"), ["ipa", "hyph", "rhymes"]).select("id", "differs")
+@register("label_to_code", "SELECT doc_id AS id, CASE lang WHEN 'en' THEN 'ENUS,RINF' WHEN 'fr' THEN 'DMATH,RINF' ELSE 'RINF' END AS codes FROM documents")
+def label_to_code(spark, sf_dir):
+    label = F.when(F.col("lang") == "en", "U.S.").when(F.col("lang") == "fr", "Algebra").when(F.col("lang") == "de", "nothing").otherwise("often")
+    rows = d.table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), F.array(F.lit("chiefly"), label, F.lit("colloquial")).alias("labels"))
+    return rows.select("id", F.array_join(F.array_sort(scan.label_codes(F.col("labels"))), ",").alias("codes"))
 
 
-@register("syllable_priority", "id, n", "(1, 3)", "(2, 2)", "(3, 4)", "(4, 5)", "(5, NULL)")
-def syllable_priority(spark):
-    rows = [(1, "/ˈhæpinəs/", ["a", "b"], 9, 9), (2, None, ["ta", "ble"], 4, 9), (3, None, ["strength"], 4, 9), (4, None, None, None, 5), (5, None, ["window"], None, None)]
-    df = spark.createDataFrame(rows, "id int, ipa string, hyph array<string>, cat int, rhymes int")
-    return df.select("id", lexical.syllables(F.col("ipa"), F.col("hyph"), F.col("cat"), F.col("rhymes")).alias("n"))
+@register("category_substring", "SELECT doc_id AS id, CASE lang WHEN 'en' THEN 'RSLG' WHEN 'fr' THEN 'DCHEM,DORGC' ELSE '' END AS codes FROM documents")
+def category_substring(spark, sf_dir):
+    category = F.when(F.col("lang") == "en", "English slang").when(F.col("lang") == "fr", "en:Organic chemistry").otherwise("English lemmas")
+    rows = d.table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), F.array(category).alias("c"))
+    return rows.select("id", F.array_join(F.array_sort(scan.category_codes(F.col("c"))), ",").alias("codes"))
 
 
-@register("normalize_word", "id, norm, plain", "('  Café ', 'café', '  Cafe ')", "('ﬁn', 'fin', 'ﬁn')", "('ABC', 'abc', 'ABC')")
-def normalize_word(spark):
-    df = _words(spark, "  Café ", "ﬁn", "ABC")
-    return df.select("id", lexical.normalize_word(F.col("id")).alias("norm"), lexical.strip_accents(F.col("id")).alias("plain"))
+@register("syllable_sources_disagree", "SELECT doc_id AS id, doc_id % 3 + 1 <> doc_id % 2 + 1 AND doc_id % 7 > 0 AS differs FROM documents")
+def syllable_sources_disagree(spark, sf_dir):
+    n = lambda k: (F.col("doc_id") % k + 1).cast("int")
+    rows = d.table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), n(3).alias("ipa"), F.when(F.col("doc_id") % 7 > 0, n(2)).alias("hyph"), F.lit(None).cast("int").alias("rhymes"))
+    return scan.syllable_disagreement(rows, ["ipa", "hyph", "rhymes"]).select("id", "differs")
 
 
-@register("englishlike", "id, ok", "('naïve', true)", "('R&amp;B', false)", "('слово', false)", "('123', false)", "('don''t', true)")
-def englishlike(spark):
-    return _words(spark, "naïve", "R&amp;B", "слово", "123", "don't").select("id", lexical.is_englishlike(F.col("id")).alias("ok"))
+@register("syllable_priority", "SELECT doc_id AS id, CASE doc_id % 5 WHEN 0 THEN 3 WHEN 1 THEN 2 WHEN 2 THEN 4 WHEN 3 THEN 5 END AS n FROM documents")
+def syllable_priority(spark, sf_dir):
+    """By id: a transcription, two parts, one long part beside a category, rhymes alone, one long part alone."""
+    k = F.col("doc_id") % 5
+    strings = lambda *x: F.array(*map(F.lit, x))
+    ipa, hyph = F.when(k == 0, "/ˈhæpinəs/"), F.when(k == 0, strings("a", "b")).when(k == 1, strings("ta", "ble")).when(k == 2, strings("strength")).when(k == 4, strings("window"))
+    category, rhymes = F.when(k == 0, 9).when(k == 1, 4).when(k == 2, 4), F.when(k < 3, 9).when(k == 3, 5)
+    return d.table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), lexical.syllables(ipa, hyph, category, rhymes).alias("n"))
 
 
-@register("clean_lemma", "id, lemma", "('[[run|Running]]', 'running')", "('{{x|y}}Walk#Etym', 'walk')")
-def clean_lemma(spark):
-    return _words(spark, "[[run|Running]]", "{{x|y}}Walk#Etym").select("id", lexical.clean_lemma(F.col("id")).alias("lemma"))
+@register("clean_lemma", "SELECT DISTINCT id AS lemma FROM (SELECT unnest(regexp_extract_all(lower(text), '[a-z]+')) AS id FROM documents)")
+def clean_lemma(spark, sf_dir):
+    w = d.counts(spark, sf_dir).select(F.concat(F.lit("{{x|y}}[["), "id", F.lit("|"), F.upper("id"), F.lit("]]#Etym")).alias("raw"))
+    return w.select(lexical.clean_lemma(F.col("raw")).alias("lemma"))
 
 
-@register("word_ids", "id, node_id", "('a', 0)", "('b', 1)", "('ab', 2)", "('abc', 3)")
-def word_ids(spark):
-    return trie.with_ids(_words(spark, "abc", "b", "ab", "a", "a"))
+@register("normalize_word", "SELECT id, nfc_normalize(lower(id)) AS norm, strip_accents(id) AS plain FROM (SELECT DISTINCT unnest(regexp_extract_all(text, '[A-Za-zÀ-ÿ]+')) AS id FROM documents)")
+def normalize_word(spark, sf_dir):
+    words = d.table(spark, sf_dir, "documents").select(F.explode(F.regexp_extract_all("text", F.lit("([A-Za-zÀ-ÿ]+)"), 1)).alias("id")).distinct()
+    return words.select("id", lexical.normalize_word(F.concat(F.lit("  "), "id", F.lit(" "))).alias("norm"), lexical.strip_accents(F.col("id")).alias("plain"))
 
 
-@register("longest_prefix", "text, prefix", "('ander', 'and')", "('bx', 'b')")
-def longest_prefix(spark):
-    return trie.longest_prefix(_words(spark, "and", "bee"), spark.createDataFrame([("ander",), ("bx",), ("q",)], "text string"))
+@register("englishlike", r"SELECT id, NOT regexp_matches(id, '[&;<>]') AND regexp_matches(id, '[A-Za-zÀ-ɏ]') AS ok FROM (SELECT DISTINCT unnest(regexp_extract_all(text, '[!-~À-ÿ]+')) AS id FROM documents) WHERE NOT regexp_matches(id, '[×÷]')")
+def englishlike(spark, sf_dir):
+    words = d.table(spark, sf_dir, "documents").select(F.explode(F.regexp_extract_all("text", F.lit("([!-~À-ÿ]+)"), 1)).alias("id")).distinct()
+    return words.where(~F.col("id").rlike("[×÷]")).select("id", lexical.is_englishlike(F.col("id")).alias("ok"))
 
 
-@register("add_source", "id, sources, licenses", "(1, 'eowl,wikt', 'UKACD,CC-BY-SA-4.0')")
-def add_source(spark):
-    df = spark.createDataFrame([(1, ["wikt"], {"CC-BY-SA-4.0": ["wikt"]})], "id int, s array<string>, l map<string,array<string>>")
-    s, licenses = lexical.add_source(F.col("s"), F.col("l"), "eowl")
-    return df.select("id", F.array_join(s, ",").alias("sources"), F.array_join(F.reverse(F.array_sort(F.map_keys(licenses))), ",").alias("licenses"))
+@register("add_source", "SELECT doc_id AS id, 'eowl,wikt' || CASE WHEN doc_id % 2 = 0 THEN ',wordnet' ELSE '' END AS sources, CASE WHEN doc_id % 2 = 0 THEN 'CC-BY-4.0,' ELSE '' END || 'CC-BY-SA-4.0,UKACD' AS licenses FROM documents")
+def add_source(spark, sf_dir):
+    docs = d.table(spark, sf_dir, "documents")
+    even = F.col("doc_id") % 2 == 0
+    one = lambda *x: F.array(*map(F.lit, x))
+    s0 = F.when(even, one("wikt", "wordnet")).otherwise(one("wikt"))
+    l0 = F.when(even, F.create_map(F.lit("CC-BY-SA-4.0"), one("wikt"), F.lit("CC-BY-4.0"), one("wordnet"))).otherwise(F.create_map(F.lit("CC-BY-SA-4.0"), one("wikt")))
+    s, licenses = lexical.add_source(s0, l0, "eowl")
+    return docs.select(F.col("doc_id").alias("id"), F.array_join(s, ",").alias("sources"), F.array_join(F.array_sort(F.map_keys(licenses)), ",").alias("licenses"))
 
 
-@register("synset_stats", "words, synsets, senses", "(2, 2, 3)")
-def synset_stats(spark):
-    return lx.synset_stats(spark.createDataFrame([("a", "NOU", "s1"), ("a", "VRB", "s2"), ("b", "NOU", "s1")], "lemma string, pos string, synset string"))
+@register("synset_stats", "SELECT count(DISTINCT lemma) AS words, count(DISTINCT synset) AS synsets, count(*) AS senses FROM (SELECT unnest(regexp_extract_all(p_name, '[a-z]+')) AS lemma, p_partkey AS synset FROM part)")
+def synset_stats(spark, sf_dir):
+    edges = d.table(spark, sf_dir, "part").select(F.explode(F.regexp_extract_all("p_name", F.lit("([a-z]+)"), 1)).alias("lemma"), F.col("p_partkey").alias("synset"))
+    return lx.synset_stats(edges)

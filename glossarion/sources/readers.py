@@ -125,7 +125,12 @@ def sections(spark: SparkSession, path: str) -> DataFrame:
     """section, line: lines below ``=== name ===`` headers."""
     rows = numbered_lines(spark, path)
     name = F.nullif(F.regexp_extract("value", r"^===\s*(.*?)\s*===$", 1), F.lit(""))
-    rows = rows.withColumn("section", F.last(name, ignorenulls=True).over(W.orderBy("line").rowsBetween(W.unboundedPreceding, W.currentRow)))
+    # names run on within ranges of lines; a range's last name runs on into the ranges after it
+    rows = rows.withColumns({"__s": name, "__r": F.floor(F.col("line") / 100_000)})
+    last = rows.groupBy("__r").agg(F.max_by("__s", F.when(F.col("__s").isNotNull(), F.col("line"))).alias("__l"))
+    before = last.select("__r", F.last("__l", ignorenulls=True).over(W.orderBy("__r").rowsBetween(W.unboundedPreceding, -1)).alias("__b"))
+    own = F.last("__s", ignorenulls=True).over(W.partitionBy("__r").orderBy("line").rowsBetween(W.unboundedPreceding, W.currentRow))
+    rows = rows.withColumn("__o", own).join(before, "__r").withColumn("section", F.coalesce("__o", "__b"))
     return rows.where(name.isNull() & F.col("section").isNotNull() & (F.trim("value") != "")).select("section", F.col("value").alias("line"))
 
 
