@@ -6,6 +6,8 @@ into chunks (white space and the run after it) where no piece of the vocabulary
 cross; each worker keeps the ids of the chunks it has met, up to a fixed number,
 and encodes the others in one multithreaded batch. Every new chunk is encoded by
 the sentencepiece library as well; a document's ``parity`` says that all its chunks agree.
+BPE chunks go to both libraries some tens in a string, as a call costs more than a chunk:
+the pieces that begin with the marker show where each chunk's ids begin.
 
 Null or empty text: no ids, parity and round trip hold. Repeated rows repeat.
 An empty table gives no row.
@@ -19,6 +21,7 @@ import struct
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -32,6 +35,8 @@ MARK = "▁"
 MAX_CHUNKS = 150_000
 #: Chunks given to the libraries at once.
 BATCH = 4096
+#: Chunks in a string.
+JOINED = 64
 CHUNK = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 
@@ -166,6 +171,8 @@ class Codec(Decoder):
         #: No piece has the marker after another character: chunks are independent.
         self.chunked = m.escape and not m.suffix and not any(MARK in p.lstrip(MARK) for p, _, k in m.pieces if k in (NORMAL, USER)) and not any(k == USER for _, _, k in m.pieces)
         self.plain = self.chunked and not m.charsmap and not m.collapse and m.dummy_prefix
+        #: Pieces that begin a chunk.
+        self.opens = np.array([p.startswith(MARK) for p, _, _ in m.pieces], bool)
         self.clear()
 
     def clear(self) -> None:
@@ -173,26 +180,50 @@ class Codec(Decoder):
         self.lens, self.at, self.agree = np.zeros(1 << 14, np.int64), np.zeros(1 << 14, np.int64), np.zeros(1 << 14, bool)
         self.pool, self.used = np.zeros(1 << 16, np.uint32), 0
 
+    def _joined(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray] | None:
+        """(ids, number of ids of each chunk, whether both libraries agree) by strings of several chunks; None unless each
+        chunk has one marker, at its beginning and not alone, and both libraries begin as many chunks as there are."""
+        lines = ["".join(chunks[k : k + JOINED]) for k in range(0, len(chunks), JOINED)]
+        if sum(x.count(MARK) for x in lines) != len(chunks) or not all(len(c) > 1 and c[0] == MARK for c in chunks):
+            return None
+        ours = np.fromiter(chain.from_iterable([e.ids for e in self.bare.encode_batch_fast(lines, add_special_tokens=False)]), np.uint32)
+        other = np.fromiter(chain.from_iterable(self.other.encode([x[1:].replace(MARK, " ") for x in lines])), np.uint32)
+        begin, theirs = np.flatnonzero(self.opens[ours]), np.flatnonzero(self.opens[other])
+        if len(begin) != len(chunks) or len(theirs) != len(chunks) or begin[0] or theirs[0]:
+            return None
+        lens = np.diff(begin, append=len(ours))
+        if np.array_equal(ours, other):
+            return ours, lens, np.ones(len(chunks), bool)
+        agree = lens == np.diff(theirs, append=len(other))
+        same = np.flatnonzero(agree)
+        differs = ours[spans(begin[same], lens[same])] != other[spans(theirs[same], lens[same])]
+        agree[np.repeat(same, lens[same])[differs]] = False
+        return ours, lens, agree
+
+    def _alone(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The same, each chunk by itself."""
+        ids = [e.ids for e in self.bare.encode_batch_fast(chunks, add_special_tokens=False)]
+        if self.plain:
+            one = [self.other.piece_to_id(MARK)]  # alone it cannot be asked for: an empty text has no marker
+            both = self.other.encode([c[1:].replace(MARK, " ") if c[0] == MARK else c for c in chunks])
+            agree = [a == b or c[0] != MARK or c == MARK and a == one for a, b, c in zip(ids, both, chunks, strict=True)]
+        else:
+            agree = [True] * len(ids)  # whole texts are compared instead
+        return np.fromiter(chain.from_iterable(ids), np.uint32), np.fromiter(map(len, ids), np.int64, len(ids)), np.array(agree, bool)
+
     def _learn(self, chunks: list[str]) -> None:
         """Ids of new chunks; in small batches, as the libraries' own results are large."""
-        one = [self.other.piece_to_id(MARK)]  # alone it cannot be asked for: an empty text has no marker
         for k in range(0, len(chunks), BATCH):
             some = chunks[k : k + BATCH]
-            ids = [e.ids for e in self.bare.encode_batch_fast(some, add_special_tokens=False)]
-            if self.plain:
-                both = self.other.encode([c[1:].replace(MARK, " ") if c[0] == MARK else c for c in some])
-                agree = [a == b or c[0] != MARK or c == MARK and a == one for a, b, c in zip(ids, both, some, strict=True)]
-            else:
-                agree = [True] * len(ids)  # whole texts are compared instead
-            lens = np.fromiter(map(len, ids), np.int64, len(ids))
-            n, m, total = len(self.index), len(ids), int(lens.sum())
+            ids, lens, agree = (self.plain and self.model.bpe and self._joined(some)) or self._alone(some)
+            n, m, total = len(self.index), len(some), len(ids)
             while n + m > len(self.lens):
                 self.lens, self.at, self.agree = (np.concatenate([x, x]) for x in (self.lens, self.at, self.agree))
             while self.used + total > len(self.pool):
                 self.pool = np.concatenate([self.pool, self.pool])
             self.at[n : n + m] = self.used + np.cumsum(lens) - lens
             self.lens[n : n + m], self.agree[n : n + m] = lens, agree
-            self.pool[self.used : self.used + total] = np.fromiter((x for y in ids for x in y), np.uint32, total)
+            self.pool[self.used : self.used + total] = ids
             self.used += total
             self.index.update(zip(some, range(n, n + m)))
 
@@ -224,7 +255,7 @@ class Codec(Decoder):
                 coded = chunks.dictionary_encode()
                 names = coded.dictionary.to_pylist()
                 codes = coded.indices.to_numpy(zero_copy_only=False)
-                odd = np.array([n == MARK or n == "" or MARK in n[1:] for n in names], bool)
+                odd = ((pc.count_substring(coded.dictionary, MARK).to_numpy() != 1) | (pc.utf8_length(coded.dictionary).to_numpy() < 2)) if len(names) else np.zeros(0, bool)
                 rows = np.repeat(np.arange(len(col)), counts)
                 bad = np.unique(rows[odd[codes]]) if odd.any() else np.zeros(0, np.int64)
                 if len(bad):  # runs of spaces, spaces at an end, markers in the text: split those texts by the pattern

@@ -66,3 +66,33 @@ def test_library_decoder_agrees():
         ids = c.other.encode(t)
         raw, _ = c.decode(np.array(ids), np.array([len(ids)]))
         assert raw.tobytes().decode() == c.tokenizer.decode(ids) == c.other.decode(ids) == t
+
+
+def test_new_chunks_go_to_the_libraries_joined():
+    import pyarrow as pa
+
+    c = sc.Codec(PATH)
+
+    class Other:
+        """Counts the strings it is given, and encodes another word in place of one."""
+
+        def __init__(self, real):
+            self.real, self.strings = real, 0
+
+        def piece_to_id(self, piece):
+            return self.real.piece_to_id(piece)
+
+        def encode(self, texts):
+            self.strings += len(texts)
+            return self.real.encode([t.replace("zebra", "quaggas") for t in texts])
+
+    c.other = Other(c.other)
+    texts = [f"word{k} of {k}é zebra" if k == 700 else f"word{k} of {k}é 日本{k}" for k in range(1000)] + ["a  b", "", " "]
+    ids, lens, agree = c.encode(pa.array(texts))
+    bounds = np.concatenate([[0], np.cumsum(lens)])
+    assert [ids[a:b].tolist() for a, b in zip(bounds, bounds[1:])] == c.other.real.encode(texts)
+    assert np.flatnonzero(~agree).tolist() == [700]
+    c.clear()
+    c.other.strings = 0
+    c.encode(pa.array(texts[:1000]))
+    assert c.other.strings < len(c.index) / 10
