@@ -9,6 +9,7 @@ closing signs, go straight to the model; all others through the whole library.
 from __future__ import annotations
 
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -18,6 +19,8 @@ from glossarion.llm._bytes import spans
 
 #: Words, and word parts, that a worker keeps; beyond it they are forgotten and learned anew.
 MAX_WORDS, MAX_PIECES = 150_000, 300_000
+#: Bytes of words that a worker keeps; a single call's words may be more.
+MAX_BYTES = 1 << 25
 
 PLAIN = r"^(?P<head>[A-Za-zÀ-ÖØ-öø-ÿ]+)(?P<tail>[!-&(-/:-@\[-`{-~]*)$"
 
@@ -57,10 +60,11 @@ class WordIds:
         self.clear()
 
     def clear(self, words_only: bool = False) -> None:
-        self.index: dict[str, int] = {"": 0}
+        # known words and pieces are Arrow arrays: they are looked up, and held, without a Python object for each
+        self.words = pa.array([""])
         if words_only:
             return
-        self.pieces: dict[str, int] = {}
+        self.pieces, self.piece_places = pa.array([""]), np.zeros(1, np.int64)
         self.long: dict[int, np.ndarray] = {}  # words of very many ids
         self.fresh: list[int] = []
         self.places = np.zeros((1 << 16, 2), np.int64)
@@ -68,15 +72,19 @@ class WordIds:
 
     def _pieces(self, col: pa.Array) -> np.ndarray:
         """For each piece its place in the pool, and in the low 16 bits the number of its ids; 0 for an empty one."""
-        coded = col.dictionary_encode()
-        known, letters, tokenize, place, got = self.pieces, self.letters, self.model.tokenize, self._place, []
-        for piece in coded.dictionary.to_pylist():
-            at = known.get(piece)
-            if at is None:
-                word = piece if piece.isascii() else "".join([letters[b] for b in piece.encode()])
-                at = known[piece] = place([t.id for t in tokenize(word)]) if piece else 0
-            got.append(at)
-        return np.array(got, np.int64)[coded.indices.to_numpy(zero_copy_only=False)]
+        coded, letters, tokenize = col.dictionary_encode(), self.letters, self.model.tokenize
+        at = pc.index_in(coded.dictionary, value_set=self.pieces)
+        if at.null_count:
+            new = coded.dictionary.filter(at.is_null())
+            words = [p if p.isascii() else "".join([letters[b] for b in p.encode()]) for p in new.to_pylist()]
+            ids = [[t.id for t in tokenize(w)] for w in words]
+            lens = np.fromiter(map(len, ids), np.int64, len(ids))
+            places = (self.used + len(self.fresh) + np.cumsum(lens) - lens) << 16 | lens
+            self.fresh += chain.from_iterable(ids)
+            at = at.fill_null(-1).to_numpy(zero_copy_only=False).copy()
+            at[at < 0] = len(self.pieces) + np.arange(len(ids))
+            self.pieces, self.piece_places = pa.concat_arrays([self.pieces, new]), np.concatenate([self.piece_places, places])
+        return self.piece_places[np.asarray(at)[coded.indices.to_numpy(zero_copy_only=False)]]
 
     def _place(self, ids: list[int]) -> int:
         at = self.used + len(self.fresh)
@@ -85,8 +93,8 @@ class WordIds:
 
     def _learn(self, words: pa.Array) -> None:
         """Places of new words: of the letters and of the closing signs, or of the whole word in pieces of 65,535 ids."""
-        n, new = len(self.index), len(words)
-        places, missing = np.zeros((new, 2), np.int64), words.to_pylist()
+        n, new = len(self.words), len(words)
+        places = np.zeros((new, 2), np.int64)
         plain = np.zeros(new, bool)
         if self.fast:
             parts = pc.extract_regex(words, PLAIN)
@@ -94,8 +102,8 @@ class WordIds:
             parts = parts.filter(pa.array(plain))
             places[plain, 0] = self._pieces(pc.utf8_lower(parts.field("head")))
             places[plain, 1] = self._pieces(parts.field("tail"))
-        odd = np.flatnonzero(~plain).tolist()
-        for i, e in zip(odd, self.tokenizer.encode_batch([missing[i] for i in odd], add_special_tokens=False), strict=True):
+        odd = np.flatnonzero(~plain)
+        for i, e in zip(odd.tolist(), self.tokenizer.encode_batch(words.take(pa.array(odd)).to_pylist(), add_special_tokens=False), strict=True):
             ids = e.ids
             if len(ids) > 120_000:
                 self.long[n + i] = np.array(ids, np.uint32)
@@ -109,23 +117,22 @@ class WordIds:
         while n + new > len(self.places):
             self.places = np.concatenate([self.places, self.places])
         self.places[n : n + new] = places
-        self.index.update(zip(missing, range(n, n + new)))
+        self.words = pa.concat_arrays([self.words, words])
 
     def encode(self, col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts one after another, number of ids of each text); a null is empty."""
+        if not pa.types.is_string(col.type):
+            col = col.cast(pa.string())
         if col.null_count:
             col = col.fill_null("")
         split = pc.ascii_split_whitespace(col)
         coded = split.values.dictionary_encode() if split.offset == 0 else split.flatten().dictionary_encode()
-        distinct = coded.dictionary.to_pylist()
-        if len(self.index) + len(distinct) > MAX_WORDS:
+        if len(self.words) + len(coded.dictionary) > MAX_WORDS or self.words.nbytes > MAX_BYTES:
             self.clear(len(self.pieces) < MAX_PIECES and not self.long and self.used < 8 * MAX_PIECES)
-        find = self.index.get
-        at = [find(w, -1) for w in distinct]
-        at = np.array(at, np.int64) if at else np.zeros(0, np.int64)
+        at = pc.index_in(coded.dictionary, value_set=self.words).fill_null(-1).to_numpy(zero_copy_only=False).astype(np.int64)
         missing = np.flatnonzero(at < 0)
         if len(missing):
-            n = len(self.index)
+            n = len(self.words)
             self._learn(coded.dictionary.take(pa.array(missing)))
             at[missing] = np.arange(n, n + len(missing))
         at = at[coded.indices.to_numpy(zero_copy_only=False)]

@@ -162,3 +162,27 @@ def test_rounds_go_on_until_no_pair_is_frequent():
     _, _, seq = grammar_store.compress(ids)
     _, n = np.unique(np.stack([seq[:-1], seq[1:]]), axis=1, return_counts=True)
     assert n.max() < 16
+
+
+def test_known_words_are_held_without_objects():
+    import sys
+
+    import pyarrow as pa
+
+    from glossarion.llm.wordids import WordIds
+
+    library, coder = Tokenizer.from_file(PATH), WordIds(PATH)
+    words = [f"{'abcdefghij'[k % 10]}{'klmnopqrst'[k // 10 % 10]}{'uvwxyz'[k // 100 % 6]}{chr(224 + k // 600)}{'.,;'[k % 3]}" for k in range(10_000)]
+    column = pa.array(words)
+    coder.encode(column[:10])
+    held = sys.getallocatedblocks()
+    ids, lens = coder.encode(column)
+    assert sys.getallocatedblocks() - held < 5000
+    # once more from what is kept, and as strings of wide offsets
+    for again in (column, pa.array(words, pa.large_string())):
+        assert (coder.encode(again)[0] == ids).all()
+    assert ids.tolist() == [i for e in library.encode_batch(words, add_special_tokens=False) for i in e.ids] and lens.sum() == len(ids)
+    # long words do not pile up
+    for k in range(6):
+        coder.encode(pa.array([f"{k}" + "x y" * 5 + "z" * 9_000_000]))
+    assert coder.words.nbytes < 50_000_000
