@@ -177,29 +177,32 @@ def dedup_lines(docs: DataFrame, min_chars: int = 10, batches: int = 4, fanout:
     docs, back = carried(docs, counts)
     n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
     runs = Runs.open(spark, store, n, fanout) if store else Runs(spark, space.path, n, fanout)
-    pairs_of = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(FIRST)).alias("doc"), F.col("text").cast("string"))
-    lost, written = None, []
-    for k, (low, high) in enumerate(batches_of(docs, batches)):
-        part = pairs_of
+    texts = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(FIRST)).alias("doc"), F.col("text").cast("string"))
+    # the texts are read once; a batch is a range of what is written, by the files' own bounds
+    all_pairs = space.write(texts.mapInArrow(_keys(min_chars), "k1 long, k2 long, doc long"), "pairs")
+    lost, written = None, ["pairs"]
+    ranges = batches_of(docs, batches)
+    for k, (low, high) in enumerate(ranges):
+        pairs = all_pairs
         if low is not None:
-            part = part.where(F.col("doc") >= low)
+            pairs = pairs.where(F.col("doc") >= low)
         if high is not None:
-            part = part.where(F.col("doc") < high)
-        pairs = space.write(part.mapInArrow(_keys(min_chars), "k1 long, k2 long, doc long"), f"pairs{k}")
+            pairs = pairs.where(F.col("doc") < high)
         owners = pairs.groupBy(*KEY).agg(F.min("doc").alias("owner"), F.max("doc").alias("last"))
         merged = runs.merge(owners)
         merged = space.write(merged, f"merged{k}")
-        runs.add(merged.where("before is null").select(*KEY, "owner"))
+        if store or k + 1 < len(ranges):  # else no batch meets the run
+            runs.add(merged.where("before is null").select(*KEY, "owner"))
         shared = merged.where("before is not null or owner < last").select(*KEY, F.coalesce("before", "owner").alias("owner"), (F.col("before").isNotNull()).alias("known"))
         gone = pairs.join(shared.hint("merge"), list(KEY)).where("doc <> owner or known").select("doc", *KEY)
         lost = gone if lost is None else lost.unionByName(gone)
-        written += [f"pairs{k}", f"merged{k}"]
+        written.append(f"merged{k}")
     by_doc = space.write(lost.groupBy("doc").agg(F.collect_list(F.struct(*KEY)).alias("lost")), "lost")
     if store:
         runs.save()
     else:
         runs.close()
-    space.drop(*written) if written else None
+    space.drop(*written)
     joined = docs.withColumn("doc", F.coalesce(F.col("doc_id").cast("long"), F.lit(FIRST))).join(by_doc, "doc", "left").drop("doc")
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields if f.name != "text") + ", text string, n_lines long, n_dropped long"
     names = {c: k for k, c in back.items()} | {"doc_id": "doc_id", "text": "text"}

@@ -158,3 +158,15 @@ def test_verdicts_by_plain_rules(spark):
                 first = k
                 break
         assert got[d.doc_id] == (first, not failed and first is None), d.doc_id
+
+
+def test_texts_are_read_once_and_no_run_is_written_that_no_batch_meets(spark, monkeypatch):
+    written, write = [], line_runs.Runs._write
+    tables, put = [], line_runs.Workspace.write
+    monkeypatch.setattr(line_runs.Workspace, "write", lambda self, df, name: tables.append(name) or put(self, df, name))
+    monkeypatch.setattr(line_runs.Runs, "_write", lambda self, rows: written.append(write(self, rows)) or written[-1])
+    df = spark.createDataFrame([(i, f"one line of document {i}\na line they all have") for i in range(9)], "doc_id long, text string")
+    got = sorted((r.doc_id, r.n_dropped) for r in line_runs.dedup_lines(df, batches=3, fanout=3).collect())
+    assert got == [(i, int(i > 0)) for i in range(9)]
+    assert len(written) == 2
+    assert tables == ["pairs", "merged0", "merged1", "merged2", "lost"]
