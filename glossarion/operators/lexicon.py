@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from glossarion import vocab
 from glossarion.functions import lexical
+from glossarion.sources.sinks import kept
 
 PROJECTION = ("pos", "register_tags", "temporal_tags", "domain_tags", "region_tags", "is_abbreviation", "is_inflected", "lemma", "codes")
 
@@ -43,9 +44,9 @@ def with_offsets(words: DataFrame) -> DataFrame:
 
     A running sum over all words, without one task for all: words are cut into ranges
     by their first characters, each range sums for itself, and the ranges' totals, one
-    row each, are summed and joined back.
+    row each, are summed and joined back. ``words`` is read twice, so it is written first.
     """
-    ranged = words.withColumn("__range", F.substring("id", 1, 2))
+    ranged = kept(words).withColumn("__range", F.substring("id", 1, 2))
     totals = ranged.groupBy("__range").agg(F.sum("sense_length").alias("__t"))
     before = totals.withColumn("__before", F.sum("__t").over(W.orderBy("__range").rowsBetween(W.unboundedPreceding, W.currentRow)) - F.col("__t")).drop("__t")
     inner = F.sum("sense_length").over(W.partitionBy("__range").orderBy("id").rowsBetween(W.unboundedPreceding, W.currentRow)) - F.col("sense_length")
@@ -74,13 +75,21 @@ def merge_sources(base: DataFrame, others: dict[str, DataFrame]) -> DataFrame:
     """
     lists = None
     for name, df in others.items():
-        one = df.select(lexical.normalize_word(F.col("id")).alias("__k")).where("__k <> ''").distinct().withColumn("__s", F.lit(name))
+        one = df.select("id", F.lit(name).alias("__s"))
         lists = one if lists is None else lists.unionByName(one)
-    per = lists.groupBy("__k").agg(F.array_sort(F.collect_set("__s")).alias("__more"))
-    keyed = base.withColumn("__k", lexical.normalize_word(F.col("id")))
-    known = keyed.join(per, "__k", "left").withColumn("sources", F.array_sort(F.array_union("sources", F.coalesce("__more", F.array().cast("array<string>"))))).drop("__more", "__k")
-    new = per.join(keyed.select("__k").distinct(), "__k", "left_anti").select(F.col("__k").alias("id"), F.col("__more").alias("sources"), lexical.word_count(F.col("__k")).alias("wc"))
-    return known.unionByName(new, allowMissingColumns=True).withColumn("license_sources", license_map(F.col("sources")))
+    # each word is normalised once, after it is grouped; a condition on the key before the join would be tested on every place of the texts
+    once = lists.groupBy("id").agg(F.collect_set("__s").alias("__s")).select(lexical.normalize_word(F.col("id")).alias("__k"), F.explode("__s").alias("__s"))
+    per = once.groupBy("__k").agg(F.array_sort(F.collect_set("__s")).alias("__more"))
+    none = F.array().cast("array<string>")
+    both = base.withColumn("__k", lexical.normalize_word(F.col("id"))).withColumn("__base", F.lit(True)).join(per, "__k", "full")
+    old, more = F.col("__base").isNotNull(), F.when(F.col("__k") != "", F.col("__more"))
+    both = both.where(old | (F.coalesce("__k", F.lit("")) != ""))
+    merged = {
+        "id": F.when(old, F.col("id")).otherwise(F.col("__k")),
+        "sources": F.when(old, F.array_sort(F.array_union("sources", F.coalesce(more, none)))).otherwise(more),
+        "wc": F.when(~old, lexical.word_count(F.col("__k"))) if "wc" not in base.columns else F.when(old, F.col("wc")).otherwise(lexical.word_count(F.col("__k"))),
+    }
+    return both.withColumns(merged).drop("__k", "__more", "__base").withColumn("license_sources", license_map(F.col("sources")))
 
 
 def merge_partition(words: DataFrame, names=("wikt", "wordnet", "eowl")) -> DataFrame:

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,6 +14,7 @@ from glossarion.plans import derived as d
 from glossarion.plans import spec
 from glossarion.plans.queries import _FIRST, _SENSES, ORACLES, QUERIES, WITH, register, wordlist  # noqa: F401  the two tables are filled here too
 from glossarion.sources import readers, sinks
+from glossarion.sources.sinks import scratch
 
 _BLANK = r"[^\x20\x09-\x0D]+"
 #: raw(id, n): words as they stand in documents, with signs and capitals.
@@ -27,17 +26,6 @@ def raw_words(spark: SparkSession, sf_dir: str) -> DataFrame:
     return words.groupBy("id").agg(F.count("*").alias("n"))
 
 
-def scratch(spark: SparkSession) -> str:
-    """A fresh folder below the one that all executors share; only where the session names none (tests) a temporary one."""
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if not root:
-        import tempfile
-
-        root = "file://" + tempfile.mkdtemp(prefix="glossarion-")
-        spark.conf.set("spark.checkpoint.dir", root)
-    return f"{root.rstrip('/')}/lexicon-{uuid.uuid4().hex}"
-
-
 # --- character presets, phrases, primary senses, proper nouns ---------------------
 
 _PRESETS = {
@@ -272,7 +260,7 @@ def unique_sense_rows(spark, sf_dir):
 
 @register("sense_summary", "SELECT count(DISTINCT words.id) AS n_words, count(DISTINCT CASE WHEN sen.id IS NULL THEN words.id END) AS senseless, count(sen.id) AS n_senses, round(count(sen.id) / count(DISTINCT words.id), 4) AS average FROM words LEFT JOIN sen ON words.id = sen.id", senses=True)
 def sense_summary(spark, sf_dir):
-    return reports.sense_summary(d.words(spark, sf_dir), d.senses(spark, sf_dir))
+    return reports.sense_summary(*d.words_and_senses(spark, sf_dir))
 
 
 @register("multi_pos_words", "SELECT id, count(DISTINCT pos) AS n_pos FROM sen GROUP BY id HAVING count(DISTINCT pos) > 1", senses=True)

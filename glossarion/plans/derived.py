@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from glossarion.functions import lexical
 from glossarion.operators import lexicon as lx
+from glossarion.sources.sinks import kept
 
 POS_OF_LANG = {"en": "NOU", "fr": "VRB", "de": "ADJ", "es": "ADV"}
 REGION_OF_LANG = {"en": "ENUS", "de": "ENGB"}
@@ -26,13 +27,7 @@ def by_lang(mapping: dict[str, str], c: Column) -> Column:
 
 def tokens(df: DataFrame, text: str = "text") -> DataFrame:
     """``df`` with a row and an ``id`` for each run of a-z of the lower-case text."""
-    return df.withColumn("id", F.explode(F.regexp_extract_all(F.lower(text), F.lit("([a-z]+)"), 1)))
-
-
-def doc_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Counted per document before anything is joined: frequent words meet no join as tokens."""
-    docs = table(spark, sf_dir, "documents").select("doc_id", "lang", "source", "text")
-    return tokens(docs).groupBy("doc_id", "lang", "source", "id").agg(F.count("*").alias("n"))
+    return df.withColumn("id", F.explode(F.regexp_extract_all(F.lower(text), F.lit("[a-z]+"), 0)))
 
 
 def counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -42,8 +37,8 @@ def counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def rank_by_count(df: DataFrame, name: str = "rank") -> DataFrame:
     """Rank by descending count, then word, without one task for all words: words are ranked within their
-    count, and each count's words come after those of all larger counts, of which there are few kinds."""
-    keyed = df.withColumn("__p", F.substring("id", 1, 2))
+    count, and each count's words come after those of all larger counts, of which there are few kinds. ``df`` is read three times, so it is written first."""
+    keyed = kept(df).withColumn("__p", F.substring("id", 1, 2))
     totals = keyed.groupBy("n", "__p").agg(F.count("*").alias("__k"))
     per = totals.groupBy("n").agg(F.sum("__k").alias("__c"))
     before = per.withColumn("__b", F.sum("__c").over(W.orderBy(F.desc("n")).rowsBetween(W.unboundedPreceding, W.currentRow)) - F.col("__c")).drop("__c")
@@ -63,9 +58,9 @@ def other_sources(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     return {"eowl": one("benchmark", "text"), "wordnet": one("conversations", "text"), "brysbaert": one("part", "p_name")}
 
 
-def words(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """id, sources, wc, license_sources, frequency_rank, frequency_tier, nsyll, lemma and region columns."""
-    base = rank_by_count(counts(spark, sf_dir), "frequency_rank").select("id", F.array(F.lit("wikt")).alias("sources"), F.lit(1).alias("wc"), "frequency_rank")
+def words(spark: SparkSession, sf_dir: str, counted: DataFrame | None = None) -> DataFrame:
+    """id, sources, wc, license_sources, frequency_rank, frequency_tier, nsyll, lemma and region columns; ``counted``: ``counts``, if made already."""
+    base = rank_by_count(counts(spark, sf_dir) if counted is None else counted, "frequency_rank").select("id", F.array(F.lit("wikt")).alias("sources"), F.lit(1).alias("wc"), "frequency_rank")
     out = lx.merge_sources(base, other_sources(spark, sf_dir))
     n = F.regexp_count("id", F.lit("[aeiouy]+"))
     return (
@@ -78,17 +73,31 @@ def words(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def senses(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One sense for each word, language and source: id, sense_ord, pos, codes, lemma."""
+def places(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """id, lang, source, n, sense_ord (least document), toxic and quality of all places of a word in texts of a language and source.
+
+    Labels are joined with documents, not with their words: a word's least values are the same over all its places, so nothing is grouped per document.
+    """
     labels = table(spark, sf_dir, "labels").groupBy("doc_id").agg(F.max("toxic").alias("toxic"), F.min("quality").alias("quality"))
-    seen = doc_tokens(spark, sf_dir).join(labels, "doc_id", "left")
-    rows = seen.groupBy("id", "lang", "source").agg(F.min("doc_id").alias("sense_ord"), F.max("toxic").alias("toxic"), F.min("quality").alias("quality"))
+    docs = table(spark, sf_dir, "documents").select("doc_id", "lang", "source", "text").join(labels, "doc_id", "left")
+    return tokens(docs).groupBy("id", "lang", "source").agg(F.count("*").alias("n"), F.min("doc_id").alias("sense_ord"), F.max("toxic").alias("toxic"), F.min("quality").alias("quality"))
+
+
+def senses(spark: SparkSession, sf_dir: str, rows: DataFrame | None = None) -> DataFrame:
+    """One sense for each word, language and source: id, sense_ord, pos, codes, lemma; ``rows``: ``places``, if made already."""
+    rows = places(spark, sf_dir) if rows is None else rows
     inflected = F.col("id").rlike("(ing|ed)$")
     codes = F.array_sort(F.array_compact(F.array(F.when(F.col("toxic") == 1, "RVLG"), F.when(F.col("quality") == 0, "TARC"), by_lang(REGION_OF_LANG, F.col("lang")), F.when(inflected, "INFL"))))
     stem = F.regexp_extract("id", "^(.*?)(ing|ed)$", 1)
     return rows.select("id", "sense_ord", by_lang(POS_OF_LANG, F.col("lang")).alias("pos"), codes.alias("codes"), F.when(inflected & (F.length(stem) > 1), stem).alias("lemma"), "source")
 
 
+def words_and_senses(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """``words`` and ``senses`` of texts that are read once."""
+    rows = kept(places(spark, sf_dir))
+    return words(spark, sf_dir, rows.groupBy("id").agg(F.sum("n").alias("n"))), senses(spark, sf_dir, rows)
+
+
 def part_ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """word, mean, sd, known, from the words of part names."""
     t = tokens(table(spark, sf_dir, "part").select("p_name", "p_size"), "p_name")

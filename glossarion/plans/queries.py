@@ -56,7 +56,8 @@ def wordlist(name: str, filters: dict, where: str, columns=("id", "frequency_tie
     sql = f"{WITH}{_SENSES if senses else ''}{ctes}\nSELECT {', '.join(names[c] for c in columns)} FROM words WHERE {where}"
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return spec.run(d.words(spark, sf_dir), {"filters": filters}, d.senses(spark, sf_dir) if senses else None).select(*columns)
+        tables = d.words_and_senses(spark, sf_dir) if senses else (d.words(spark, sf_dir), None)
+        return spec.run(tables[0], {"filters": filters}, tables[1]).select(*columns)
 
     QUERIES[name], ORACLES[name] = run, sql
 
@@ -113,17 +114,17 @@ def score_topk(spark, sf_dir):
 
 @register("sense_any_match", "SELECT id FROM words WHERE id IN (SELECT id FROM sen WHERE pos = 'VRB' AND NOT coalesce(toxic = 1, false))", senses=True)
 def sense_any_match(spark, sf_dir):
-    return pr.filter_two_tables(d.words(spark, sf_dir), d.senses(spark, sf_dir), sense=pr.matches_pos("VRB") & ~pr.has_code("RVLG")).select("id")
+    return pr.filter_two_tables(*d.words_and_senses(spark, sf_dir), sense=pr.matches_pos("VRB") & ~pr.has_code("RVLG")).select("id")
 
 
 @register("sense_all_match", "SELECT id FROM words WHERE id NOT IN (SELECT id FROM sen WHERE NOT (pos IN ('NOU', 'ADJ')))", senses=True)
 def sense_all_match(spark, sf_dir):
-    return pr.filter_two_tables(d.words(spark, sf_dir), d.senses(spark, sf_dir), sense=pr.matches_pos("NOU", "ADJ"), need_all=True).select("id")
+    return pr.filter_two_tables(*d.words_and_senses(spark, sf_dir), sense=pr.matches_pos("NOU", "ADJ"), need_all=True).select("id")
 
 
 @register("sense_match_counts", "SELECT id, count(ord) AS n_senses, count(CASE WHEN lemma IS NULL AND NOT inflected THEN 1 END) AS n_matching FROM (SELECT words.id, ord, lemma, sen.inflected FROM words LEFT JOIN sen ON words.id = sen.id) GROUP BY id", senses=True)
 def sense_match_counts(spark, sf_dir):
-    return pr.filter_two_tables(d.words(spark, sf_dir), d.senses(spark, sf_dir), sense=pr.is_base_form(), counts=True).select("id", "n_senses", "n_matching")
+    return pr.filter_two_tables(*d.words_and_senses(spark, sf_dir), sense=pr.is_base_form(), counts=True).select("id", "n_senses", "n_matching")
 
 
 @register("sense_predicates", "SELECT pos, count(*) AS n, count(CASE WHEN toxic = 1 THEN 1 END) AS profane, count(CASE WHEN quality = 0 THEN 1 END) AS dated, count(CASE WHEN inflected THEN 1 END) AS inflected, count(CASE WHEN region IS NULL OR region = 'ENGB' THEN 1 END) AS british, count(CASE WHEN NOT coalesce(toxic = 1, false) AND NOT coalesce(quality = 0, false) THEN 1 END) AS child_safe FROM sen GROUP BY pos", senses=True)
@@ -381,5 +382,5 @@ def distinct_values(spark, sf_dir):
 
 @register("enriched_entries", "SELECT words.id, tier AS frequency_tier, string_agg(DISTINCT pos, ',' ORDER BY pos) AS pos, count(ord) AS n_senses FROM words LEFT JOIN sen ON words.id = sen.id GROUP BY words.id, tier", senses=True)
 def enriched_entries(spark, sf_dir):
-    out = reports.enriched(d.words(spark, sf_dir), d.senses(spark, sf_dir))
+    out = reports.enriched(*d.words_and_senses(spark, sf_dir))
     return out.select("id", "frequency_tier", F.array_join("pos", ",").alias("pos"), F.coalesce(F.size("senses"), F.lit(0)).cast("long").alias("n_senses"))

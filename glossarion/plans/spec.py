@@ -253,13 +253,14 @@ def compile_spec(spec: Spec) -> Column:
 
 def aggregate_senses(senses: DataFrame) -> DataFrame:
     """id, pos set, labels and primary_sense (the first sense's pos and labels): one row a word."""
-    labels = lexical.categorize_codes(F.coalesce(F.col("codes"), F.array().cast("array<string>")))
-    rows = senses.select("id", "sense_ord", "pos", labels.alias("l"))
-    flat = lambda k: F.array_sort(F.array_distinct(F.flatten(F.collect_list(f"l.{k}")))).alias(k)
-    return rows.groupBy("id").agg(
-        F.array_sort(F.collect_set("pos")).alias("pos"), F.struct(*(flat(k) for k in vocab.CATEGORIES)).alias("labels"),
-        F.min_by(F.struct("pos", F.col("l").alias("labels")), "sense_ord").alias("primary_sense"),
+    rows = senses.select("id", "sense_ord", "pos", F.coalesce(F.col("codes"), F.array().cast("array<string>")).alias("codes"))
+    # codes are gathered once and sorted into categories a word at a time, of which a filter reads few
+    words = rows.groupBy("id").agg(
+        F.array_sort(F.collect_set("pos")).alias("pos"), F.array_sort(F.array_distinct(F.flatten(F.collect_set("codes")))).alias("codes"),
+        F.min_by(F.struct("pos", "codes"), "sense_ord").alias("first"),
     )
+    first = F.struct(F.col("first.pos").alias("pos"), lexical.categorize_codes(F.col("first.codes")).alias("labels"))
+    return words.select("id", "pos", lexical.categorize_codes(F.col("codes")).alias("labels"), F.when(F.col("first").isNotNull(), first).alias("primary_sense"))
 
 
 def run(lexemes: DataFrame, spec: Spec | dict | str, senses: DataFrame | None = None) -> DataFrame:

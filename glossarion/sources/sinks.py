@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import json
+import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Module -> (column, description). More can be added.
@@ -18,6 +19,24 @@ ENTRY_ORDER = ("id", "pos", "wc", "nsyll", "codes", "lemma", "morphology", "defi
 DEFAULTS = {"frequency_tier": "Z", "is_phrase": False, "is_inflected": False}
 
 
+def scratch(spark: SparkSession) -> str:
+    """A fresh folder below the one that all executors share; only where the session names none (tests) a temporary one."""
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if not root:
+        import tempfile
+
+        root = "file://" + tempfile.mkdtemp(prefix="glossarion-")
+        spark.conf.set("spark.checkpoint.dir", root)
+    return f"{root.rstrip('/')}/lexicon-{uuid.uuid4().hex}"
+
+
+def kept(df: DataFrame) -> DataFrame:
+    """``df`` written once: branches of a plan that read it do not each make it anew."""
+    path = scratch(df.sparkSession)
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def module_values(words: DataFrame, module: str) -> DataFrame:
     """word, value: non-null (and non-empty) values of a module."""
     c = MODULES[module][0]
