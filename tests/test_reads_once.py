@@ -9,6 +9,7 @@ from glossarion.operators import lexicon as lx
 SF = "/root/testdata/sf0.001"
 NAMES = [
     "label_exclude",
+    "label_exclude_primary",
 ]
 
 
