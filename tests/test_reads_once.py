@@ -10,6 +10,7 @@ SF = "/root/testdata/sf0.001"
 NAMES = [
     "label_exclude",
     "label_exclude_primary",
+    "label_include_primary",
 ]
 
 
