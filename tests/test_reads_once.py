@@ -11,6 +11,7 @@ NAMES = [
     "label_exclude",
     "label_exclude_primary",
     "label_include_primary",
+    "label_include",
 ]
 
 
