@@ -12,6 +12,7 @@ NAMES = [
     "label_exclude_primary",
     "label_include_primary",
     "label_include",
+    "format_text_fields",
 ]
 
 
