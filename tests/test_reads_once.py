@@ -13,6 +13,7 @@ NAMES = [
     "label_include_primary",
     "label_include",
     "format_text_fields",
+    "sense_match_counts",
 ]
 
 
