@@ -14,6 +14,7 @@ NAMES = [
     "label_include",
     "format_text_fields",
     "sense_match_counts",
+    "pos_exclude_any",
 ]
 
 
