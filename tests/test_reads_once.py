@@ -15,6 +15,7 @@ NAMES = [
     "format_text_fields",
     "sense_match_counts",
     "pos_exclude_any",
+    "temporal_include",
 ]
 
 
