@@ -16,6 +16,7 @@ NAMES = [
     "sense_match_counts",
     "pos_exclude_any",
     "temporal_include",
+    "syllable_range",
 ]
 
 
