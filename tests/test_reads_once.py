@@ -17,6 +17,7 @@ NAMES = [
     "pos_exclude_any",
     "temporal_include",
     "syllable_range",
+    "policy_family_friendly",
 ]
 
 
