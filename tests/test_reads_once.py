@@ -18,6 +18,7 @@ NAMES = [
     "temporal_include",
     "syllable_range",
     "policy_family_friendly",
+    "normalize_sense_offsets",
 ]
 
 
