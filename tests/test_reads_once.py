@@ -19,6 +19,7 @@ NAMES = [
     "syllable_range",
     "policy_family_friendly",
     "normalize_sense_offsets",
+    "pos_include_primary",
 ]
 
 
