@@ -20,6 +20,7 @@ NAMES = [
     "policy_family_friendly",
     "normalize_sense_offsets",
     "pos_include_primary",
+    "combo_cumulative",
 ]
 
 
