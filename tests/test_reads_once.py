@@ -21,6 +21,7 @@ NAMES = [
     "normalize_sense_offsets",
     "pos_include_primary",
     "combo_cumulative",
+    "order_case_insensitive",
 ]
 
 
