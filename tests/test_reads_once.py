@@ -22,6 +22,7 @@ NAMES = [
     "pos_include_primary",
     "combo_cumulative",
     "order_case_insensitive",
+    "syllable_exact",
 ]
 
 
