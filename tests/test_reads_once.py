@@ -23,6 +23,7 @@ NAMES = [
     "combo_cumulative",
     "order_case_insensitive",
     "syllable_exact",
+    "source_include",
 ]
 
 
