@@ -24,6 +24,7 @@ NAMES = [
     "order_case_insensitive",
     "syllable_exact",
     "source_include",
+    "order_frequency",
 ]
 
 
