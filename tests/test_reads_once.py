@@ -25,6 +25,7 @@ NAMES = [
     "syllable_exact",
     "source_include",
     "order_frequency",
+    "format_tsv",
 ]
 
 
