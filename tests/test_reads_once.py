@@ -26,6 +26,7 @@ NAMES = [
     "source_include",
     "order_frequency",
     "format_tsv",
+    "normalize_lexemes",
 ]
 
 
