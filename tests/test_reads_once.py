@@ -27,6 +27,7 @@ NAMES = [
     "order_frequency",
     "format_tsv",
     "normalize_lexemes",
+    "format_text",
 ]
 
 
